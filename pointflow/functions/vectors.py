@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,13 +15,24 @@ def sqdist(p: Column, q: Column) -> Column:
     )
 
 
-def sqdist_unrolled(p: Column, q: list[float]) -> Column:
-    """`sqdist` to a fixed point as plain arithmetic, in the same order of summation."""
-    total = None
-    for j, value in enumerate(q):
-        diff = F.get(p, F.lit(j)) - F.lit(float(value))
-        total = diff * diff if total is None else total + diff * diff
-    return total
+def sqdist_text(point: str, table: str, row: int, dims: int) -> str:
+    """`sqdist` to row `row` of a flat table column as plain SQL arithmetic, in the same order of summation."""
+    gaps = [f"({point}[{j}] - {table}[{row * dims + j}])" for j in range(dims)]
+    return " + ".join(f"{g} * {g}" for g in gaps)
+
+
+def flat_table_text(rows: list[list[float]]) -> str:
+    """Fixed points as one flat `array<double>` that reaches the tasks as a value, not as program text.
+
+    Rounds that differ only in the centers then share their compiled code.
+    """
+    cells = ", ".join(f"{v!r}D" for r in rows for v in r)
+    return f"(SELECT c FROM VALUES (array({cells})) AS t(c))"
+
+
+def table_text(rows: list[list[float]]) -> str:
+    """Fixed points as one constant `array<array<double>>`, however many they are."""
+    return f"from_json('{json.dumps(rows)}', 'array<array<double>>')"
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -43,8 +56,3 @@ def blend(p: Column, q: Column, x: Column, ell: Column) -> Column:
     return F.when(ell == 0.0, p).otherwise(
         F.zip_with(p, q, lambda a, b: (ell - x) / ell * a + x / ell * b)
     )
-
-
-def bind(value: Column, body) -> Column:
-    """Evaluate `value` once and hand it to `body`: a `let` for use inside lambdas."""
-    return F.transform(F.array(value), body)[0]

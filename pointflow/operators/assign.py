@@ -12,10 +12,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.functions.vectors import sqdist, sqdist_unrolled
+from pointflow.functions.vectors import flat_table_text, sqdist, sqdist_text, table_text
 
 STRATEGIES = ("auto", "unrolled", "lambda", "arrow")
 # K * D up to which generated arithmetic beats Arrow; above it the generated method is too long to be compiled
@@ -105,11 +105,9 @@ def _nearest_udf(centers: list[list[float]]):
     return nearest
 
 
-def _checked_point(point: str, dims: int) -> Column:
-    ok = F.coalesce(F.size(F.col(point)) == dims, F.lit(False))
-    return F.when(ok, F.col(point)).otherwise(
-        F.raise_error(F.lit(f"a point does not have {dims} coordinates")).cast("array<double>")
-    )
+def _width_text(point: str, dims: int, value: str) -> str:
+    """`value`, or an error for a point of another width."""
+    return f"if(size({point}) <=> {dims}, {value}, raise_error('a point does not have {dims} coordinates'))"
 
 
 def assign_nearest(
@@ -138,23 +136,26 @@ def assign_nearest(
 
 def _unrolled(points: DataFrame, rows: list[list[float]], point: str):
     # each distance is its own column, so it is computed once for both results
+    dims = len(rows[0])
+    texts = [sqdist_text(f"`{point}`", "_c", i, dims) for i in range(len(rows))]
+    texts[0] = _width_text(f"`{point}`", dims, texts[0])
     names = [f"_d{i}" for i in range(len(rows))]
-    safe = points.withColumn("_p", _checked_point(point, len(rows[0])))
-    df = safe.select("*", *[sqdist_unrolled(F.col("_p"), c).alias(n) for n, c in zip(names, rows)])
-    if len(rows) == 1:
-        return df, F.col(names[0]), F.lit(0)
-    low = F.least(*names)
-    df = df.withColumn("_low", low)
-    index = F.when(F.col(names[0]) == F.col("_low"), 0)
-    for i, name in enumerate(names[1:], start=1):
-        index = index.when(F.col(name) == F.col("_low"), i)
-    return df, F.col("_low"), index
+    low = f"least({', '.join(names)})" if len(rows) > 1 else "_d0"
+    cases = " ".join(f"WHEN {n} = _low THEN {i}" for i, n in enumerate(names))
+    df = points.selectExpr(
+        "*",
+        f"{flat_table_text(rows)} AS _c",
+        *[f"{t} AS {n}" for t, n in zip(texts, names)],
+        f"{low} AS _low",
+        f"CASE {cases} END AS _k",
+    )
+    return df, F.col("_low"), F.col("_k")
 
 
 def _lambda(points: DataFrame, rows: list[list[float]], point: str):
-    table = F.array(*[F.array(*[F.lit(v) for v in c]) for c in rows])
-    ranked = F.transform(table, lambda c, i: F.struct(sqdist(F.col("_p"), c).alias("d"), i.alias("i")))
-    df = points.withColumn("_p", _checked_point(point, len(rows[0]))).withColumn("_best", F.array_min(ranked))
+    safe = points.selectExpr("*", _width_text(f"`{point}`", len(rows[0]), f"`{point}`") + " AS _p")
+    ranked = F.transform(F.expr(table_text(rows)), lambda c, i: F.struct(sqdist(F.col("_p"), c).alias("d"), i.alias("i")))
+    df = safe.withColumn("_best", F.array_min(ranked))
     return df, F.col("_best.d"), F.col("_best.i")
 
 

@@ -15,16 +15,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.functions.vectors import bind, blend, distance
-from pointflow.operators.assign import Centers, as_centers, centers_frame
+from pointflow.functions.vectors import table_text
+from pointflow.operators.assign import Centers, as_centers
 from pointflow.operators.kmeans import held, kmeans_init
-from pointflow.operators.partials import cluster_group_sums, scatter
+from pointflow.operators.partials import cluster_group_sums, scatter_text
 
 SELECTIONS = ("cluster_means", "population")
 
+# what one cluster adds to the total of side `s`
+_WEIGHT = {
+    "cluster_means": "if(n_{s} > 0, 1D, 0D)",
+    "population": "CAST(coalesce(n_{s}, 0L) AS DOUBLE)",
+}
+
 # fixed values of the search
 GAMMA_START = 0.5
 POWER_START = 0.5
@@ -45,126 +51,82 @@ def fair_models(
     if selection not in SELECTIONS:
         raise ValueError(f"selection must be one of {SELECTIONS}")
     population = selection == "population"
-    measured = sums
-    if population:
-        # K rows of centers; the planner broadcasts them below its own size limit
-        old = centers_frame(sums.sparkSession, centers).withColumnRenamed("center", "_old")
-        measured = sums.join(old, "k").withColumn(
-            "delta", scatter(F.col("n"), F.col("sum"), F.col("ss"), F.col("_old"))
-        )
-    else:
-        measured = sums.withColumn("delta", F.lit(0.0))
-    measured = measured.withColumn("mean", F.transform("sum", lambda v: v / F.col("n")))
-
-    def pick(group: int, column: str) -> Column:
-        return F.max(F.when(F.col("grp") == group, F.col(column)))
-
-    clusters = measured.groupBy(*by, "k").agg(
-        *[pick(g, c).alias(f"{c}_{s}") for g, s in ((0, "a"), (1, "b")) for c in ("n", "delta", "mean")]
+    # the constant table is indexed by `k`, so the old centers need no join
+    delta = scatter_text(f"{table_text(as_centers(centers))}[k]") if population else "0D"
+    measured = sums.selectExpr(
+        *by, "k", "grp", "n", "transform(sum, s -> s / n) AS mean", f"{delta} AS delta"
     )
-    for side in ("a", "b"):
-        count = F.coalesce(F.col(f"n_{side}"), F.lit(0))
-        clusters = clusters.withColumn(f"n_{side}", count)
-        weight = F.col(f"n_{side}") if population else F.when(F.col(f"n_{side}") > 0, 1).otherwise(0)
-        clusters = clusters.withColumn(f"w_{side}", weight.cast("double"))
-    packed = F.array_sort(F.collect_list(F.struct("k", "n_a", "n_b", "w_a", "w_b", "mean_a", "mean_b")))
+    picks = [
+        f"max({column}) FILTER (WHERE grp = {group}) AS {column}_{side}"
+        for group, side in ((0, "a"), (1, "b"))
+        for column in ("n", "delta", "mean")
+    ]
+    clusters = measured.groupBy(*by, "k").agg(*map(F.expr, picks))
+    weights = {side: _WEIGHT[selection].format(s=side) for side in "ab"}
+    cell = ", ".join(f"coalesce(n_{s}, 0L) AS n_{s}, {w} AS w_{s}, mean_{s}" for s, w in weights.items())
     model = clusters.groupBy(*by).agg(
-        packed.alias("_packed"),
-        *[F.sum(f"w_{s}").alias(f"_w_{s}") for s in "ab"],
-        *[F.coalesce(F.sum(f"delta_{s}"), F.lit(0.0)).alias(f"_delta_{s}") for s in "ab"],
+        F.expr(f"array_sort(collect_list(struct(k, {cell})))").alias("cells"),
+        *[F.expr(f"sum({w})").alias(f"total_{s}") for s, w in weights.items()],
+        *[F.expr(f"coalesce(sum(delta_{s}), 0D)").alias(f"delta_{s}") for s in weights],
     )
-
-    def finish(c: Column) -> Column:
-        mean_a = F.coalesce(c["mean_a"], c["mean_b"])
-        mean_b = F.coalesce(c["mean_b"], c["mean_a"])
-        both = c["mean_a"].isNotNull() & c["mean_b"].isNotNull()
-        return F.struct(
-            c["k"].alias("k"),
-            c["n_a"].alias("n_a"),
-            c["n_b"].alias("n_b"),
-            _ratio(c["w_a"], F.col("_w_a")).alias("alpha"),
-            _ratio(c["w_b"], F.col("_w_b")).alias("beta"),
-            mean_a.alias("mean_a"),
-            mean_b.alias("mean_b"),
-            F.when(both, distance(c["mean_a"], c["mean_b"])).otherwise(0.0).alias("ell"),
-        )
-
-    return model.select(
+    return model.selectExpr(
         *by,
-        F.transform("_packed", finish).alias("clusters"),
-        _ratio(F.col("_delta_a"), F.col("_w_a")).alias("fixed_a"),
-        _ratio(F.col("_delta_b"), F.col("_w_b")).alias("fixed_b"),
+        """transform(cells, c -> struct(
+            c.k AS k, c.n_a AS n_a, c.n_b AS n_b,
+            if(total_a = 0, 0D, c.w_a / total_a) AS alpha,
+            if(total_b = 0, 0D, c.w_b / total_b) AS beta,
+            coalesce(c.mean_a, c.mean_b) AS mean_a,
+            coalesce(c.mean_b, c.mean_a) AS mean_b,
+            coalesce(sqrt(aggregate(
+                zip_with(c.mean_a, c.mean_b, (p, q) -> (p - q) * (p - q)), 0D, (u, v) -> u + v)), 0D) AS ell
+        )) AS clusters""",
+        "if(total_a = 0, 0D, delta_a / total_a) AS fixed_a",
+        "if(total_b = 0, 0D, delta_b / total_b) AS fixed_b",
     )
 
 
-def _ratio(top: Column, bottom: Column) -> Column:
-    return F.when(bottom == 0.0, 0.0).otherwise(top / bottom)
-
-
 def fair_stats(models: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per cluster: `by..., k, n_a, n_b, alpha, beta, mean_a, mean_b, ell`."""
     return models.select(*by, F.inline("clusters"))
 
 
-def line_search(fixed_a: Column, fixed_b: Column, alpha: Column, beta: Column, ell: Column) -> Column:
-    """Distances `x` from the A means at which the two group costs come closest, as an array.
+def line_search_text() -> str:
+    """The distances `x` from the A means at which the two group costs come closest, as SQL over a model row.
 
     Halving steps on gamma, ten at most; the result belongs to the gamma before
-    the last step. A cluster of no weight in either group gets x = 0.
+    the last step. A cluster of no weight in either group gets x = 0. SQL
+    lambdas have no `let`: `transform(array(v), v -> ...)[0]` evaluates v once.
     """
-    weights = F.arrays_zip(alpha.alias("a"), beta.alias("b"), ell.alias("l"))
-
-    def place(gamma: Column) -> Column:
-        def one(w: Column) -> Column:
-            heavy = gamma * w["a"] + (1 - gamma) * w["b"]
-            return F.when(heavy == 0.0, 0.0).otherwise((1 - gamma) * w["b"] * w["l"] / heavy)
-
-        return F.transform(weights, one)
-
-    def cost(start: Column, x: Column, side: str) -> Column:
-        def term(w: Column, at: Column) -> Column:
-            gap = at if side == "a" else w["l"] - at
-            return w[side] * gap * gap
-
-        return F.aggregate(F.zip_with(weights, x, term), start, lambda acc, v: acc + v)
-
-    def step(acc: Column, _: Column) -> Column:
-        power = acc["power"] / 2
-
-        def at(x: Column) -> Column:
-            costs = F.struct(cost(fixed_a, x, "a").alias("a"), cost(fixed_b, x, "b").alias("b"))
-            return bind(costs, lambda f: move(x, f["a"], f["b"]))
-
-        def move(x: Column, f_a: Column, f_b: Column) -> Column:
-            equal = F.abs(f_a - f_b) <= SEARCH_TOLERANCE * F.greatest(f_a, f_b)
-            gamma = F.when(equal, acc["gamma"]).when(f_a > f_b, acc["gamma"] + power).otherwise(acc["gamma"] - power)
-            return _state(gamma, power, equal, x)
-
-        return F.when(acc["done"], acc).otherwise(bind(place(acc["gamma"]), at))
-
-    start = _state(F.lit(GAMMA_START), F.lit(POWER_START), F.lit(False), F.transform(ell, lambda _: F.lit(0.0)))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(SEARCH_STEPS)), start, step, lambda acc: acc["x"])
-
-
-def _state(gamma: Column, power: Column, done: Column, x: Column) -> Column:
-    return F.struct(gamma.alias("gamma"), power.alias("power"), done.alias("done"), x.alias("x"))
+    heavy = "(s.gamma * c.alpha + (1 - s.gamma) * c.beta)"
+    place = f"transform(clusters, c -> if({heavy} = 0, 0D, (1 - s.gamma) * c.beta * c.ell / {heavy}))"
+    cost_a = "aggregate(zip_with(clusters, x, (c, v) -> c.alpha * v * v), fixed_a, (u, v) -> u + v)"
+    cost_b = "aggregate(zip_with(clusters, x, (c, v) -> c.beta * (c.ell - v) * (c.ell - v)), fixed_b, (u, v) -> u + v)"
+    equal = f"abs(f.a - f.b) <= {SEARCH_TOLERANCE!r}D * greatest(f.a, f.b)"
+    move = f"""named_struct(
+        'gamma', CASE WHEN {equal} THEN s.gamma
+                      WHEN f.a > f.b THEN s.gamma + s.power / 2
+                      ELSE s.gamma - s.power / 2 END,
+        'power', s.power / 2, 'done', {equal}, 'x', x)"""
+    step = f"transform(array({place}), x -> transform(array(struct({cost_a} AS a, {cost_b} AS b)), f -> {move})[0])[0]"
+    return f"""aggregate(
+        sequence(1, {SEARCH_STEPS}),
+        named_struct('gamma', {GAMMA_START!r}D, 'power', {POWER_START!r}D, 'done', false,
+                     'x', transform(clusters, c -> 0D)),
+        (s, t) -> if(s.done, s, {step}),
+        s -> s.x)"""
 
 
 def fair_line_search(models: DataFrame) -> DataFrame:
-    """Adds `x`, one distance per entry of `clusters`."""
-
-    def field(name: str) -> Column:
-        return F.transform("clusters", lambda c: c[name])
-
-    x = line_search(F.col("fixed_a"), F.col("fixed_b"), field("alpha"), field("beta"), field("ell"))
-    return models.withColumn("x", x)
+    """Adds `x`, one distance per entry of `clusters`, for all models in one job."""
+    return models.selectExpr("*", f"{line_search_text()} AS x")
 
 
 def fair_centroids(searched: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """`(by..., k, x, center)` for every cluster with a point; the others keep whatever center they had."""
-    rows = searched.select(*by, F.inline(F.arrays_zip(F.col("clusters").alias("c"), F.col("x").alias("x"))))
-    center = blend(F.col("c.mean_a"), F.col("c.mean_b"), F.col("x"), F.col("c.ell"))
-    return rows.select(*by, F.col("c.k").alias("k"), "x", center.alias("center"))
+    rows = searched.selectExpr(*by, "inline(zip_with(clusters, x, (c, x) -> struct(c, x)))")
+    center = """if(c.ell = 0, c.mean_a,
+        zip_with(c.mean_a, c.mean_b, (a, b) -> (c.ell - x) / c.ell * a + x / c.ell * b))"""
+    return rows.selectExpr(*by, "c.k AS k", "x", f"{center} AS center")
 
 
 def fair_lloyd(

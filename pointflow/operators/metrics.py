@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pointflow.functions.vectors import table_text
 from pointflow.operators.assign import Centers, as_centers, assign_nearest
 
 GROUP_A, GROUP_B = 0, 1
@@ -94,11 +95,10 @@ def cluster_report(
         _mean("_ss_b", "_n_b").alias("phi_b"),
     ).withColumn("phi", worst_of(F.col("phi_a"), F.col("phi_b")))
     flat = model.select(*[c for c in model.columns if c != "_filled"], F.inline("_filled"))
-    table = F.array(*[F.array(*[F.lit(v) for v in c]) for c in rows])
     return flat.select(
         *by,
         "k",
-        table[F.col("k")].alias("center"),
+        F.expr(f"{table_text(rows)}[k]").alias("center"),
         F.col("cell.n_a").alias("n_a_k"),
         F.col("cell.n_b").alias("n_b_k"),
         "n",

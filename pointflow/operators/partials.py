@@ -11,10 +11,9 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.functions.vectors import sqdist
 from pointflow.operators.assign import Centers, as_centers, assign_nearest, matrix_of, nearest_in_block, pick_strategy
 
 # widths up to which one sum column per coordinate is used; beyond it the coordinates become rows
@@ -30,24 +29,18 @@ def point_dims(points: DataFrame, point: str = "point") -> int:
     return row[0]
 
 
-def sum_columns(point: Column, dims: int) -> list[Column]:
-    return [F.sum(point[j]).alias(f"_s{j}") for j in range(dims)]
-
-
-def _merge_sums(df: DataFrame, keys: Sequence[str], dims: int, extra: dict[str, Column]) -> DataFrame:
-    """Group by `keys`: element-wise sum of `sum`, and the scalar aggregates in `extra`."""
-    scalars = [c.alias(n) for n, c in extra.items()]
+def _merge_sums(df: DataFrame, keys: Sequence[str], dims: int, extra: dict[str, str], cells: str = "sum") -> DataFrame:
+    """Group by `keys`: the SQL aggregates in `extra`, and the element-wise sum of the array column `cells`."""
+    scalars = [F.expr(f"{text} AS {name}") for name, text in extra.items()]
     if dims <= WIDE_DIMS:
-        cells = F.array(*[F.col(f"_s{j}") for j in range(dims)]).alias("sum")
-        grouped = df.groupBy(*keys).agg(*scalars, *sum_columns(F.col("sum"), dims))
-        return grouped.select(*keys, *extra, cells)
-    # one row per coordinate; the scalars ride on the first one
-    first = F.col("_j") == 0
-    inner = {n: F.when(first, F.col(n)) for n in extra}
-    exploded = df.select("*", F.posexplode("sum").alias("_j", "_v")).withColumns(inner)
+        totals = [F.expr(f"sum({cells}[{j}]) AS _s{j}") for j in range(dims)]
+        packed = ", ".join(f"_s{j}" for j in range(dims))
+        return df.groupBy(*keys).agg(*scalars, *totals).selectExpr(*keys, *extra, f"array({packed}) AS sum")
+    # one row per coordinate, of which every one carries the scalars to its own group
+    exploded = df.select("*", F.posexplode(cells).alias("_j", "_v"))
     per_cell = exploded.groupBy(*keys, "_j").agg(*scalars, F.sum("_v").alias("_v"))
-    cells = F.transform(F.array_sort(F.collect_list(F.struct("_j", "_v"))), lambda e: e["_v"]).alias("sum")
-    return per_cell.groupBy(*keys).agg(*[F.max(n).alias(n) for n in extra], cells)
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("_j", "_v"))), lambda e: e["_v"]).alias("sum")
+    return per_cell.groupBy(*keys).agg(*[F.max(n).alias(n) for n in extra], ordered)
 
 
 def cluster_group_sums(
@@ -68,19 +61,16 @@ def cluster_group_sums(
     if strategy == "auto":
         strategy = pick_strategy(len(rows), dims)
     keys = [*by, "k", "grp"]
-    extra = {"n": F.sum("n"), "ss": F.sum("ss")}
-    points = points.select(*by, F.col(point).alias("point"), F.col(grp).cast("int").alias("grp"))
+    points = points.selectExpr(*by, f"`{point}` AS point", f"CAST(`{grp}` AS INT) AS grp")
     if strategy != "arrow":
-        single = assign_nearest(points, rows, strategy).select(
-            *keys, F.lit(1).cast("bigint").alias("n"), F.col("point").alias("sum"), F.col("dist2").alias("ss")
-        )
-        return _merge_sums(single, keys, dims, extra)
+        assigned = assign_nearest(points, rows, strategy)
+        return _merge_sums(assigned, keys, dims, {"n": "count(1)", "ss": "sum(dist2)"}, "point")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in points.select(*by).schema.fields]
     schema = ", ".join([*fields, "k int, grp int, n bigint, `sum` array<double>, ss double"])
     partial = points.withColumn("point", F.col("point").cast("array<double>")).mapInArrow(
         _batch_sums(rows, list(by)), schema
     )
-    return _merge_sums(partial, keys, dims, extra)
+    return _merge_sums(partial, keys, dims, {"n": "sum(n)", "ss": "sum(ss)"})
 
 
 def add_up(matrix: np.ndarray, codes: np.ndarray, size: int) -> np.ndarray:
@@ -153,16 +143,15 @@ def cluster_group_means(sums: DataFrame) -> DataFrame:
 def mean_vector(points: DataFrame, dims: int | None = None, by: Sequence[str] = (), point: str = "point") -> DataFrame:
     """`(by..., n, mean)`; without `by` an empty input gives one row with n = 0 and a NULL mean."""
     dims = dims or point_dims(points, point)
-    single = points.select(*by, F.lit(1).cast("bigint").alias("n"), F.col(point).cast("array<double>").alias("sum"))
-    total = _merge_sums(single, list(by), dims, {"n": F.coalesce(F.sum("n"), F.lit(0))})
-    mean = F.when(F.col("n") > 0, F.transform("sum", lambda v: v / F.col("n")))
-    return total.select(*by, "n", mean.alias("mean"))
+    typed = points.select(*by, F.col(point).cast("array<double>").alias("point"))
+    total = _merge_sums(typed, list(by), dims, {"n": "count(1)"}, "point")
+    return total.selectExpr(*by, "n", "if(n > 0, transform(sum, s -> s / n), NULL) AS mean")
 
 
-def scatter(n: Column, total: Column, ss: Column, center: Column) -> Column:
-    """Sum of squared distances to the own mean, from the sum of those to `center`.
+def scatter_text(center: str) -> str:
+    """Sum of squared distances to the own mean, from `ss`, that of the distances to `center`.
 
     sum |x-m|^2 = sum |x-c|^2 - n |m-c|^2 needs no second pass over the points.
     """
-    mean = F.transform(total, lambda v: v / n)
-    return F.greatest(ss - n * sqdist(mean, center), F.lit(0.0))
+    gap = f"zip_with(sum, {center}, (s, c) -> (s / n - c) * (s / n - c))"
+    return f"greatest(ss - n * aggregate({gap}, 0D, (u, v) -> u + v), 0D)"
