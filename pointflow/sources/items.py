@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointflow.sources.points import _check_on_bad, _settle
@@ -18,3 +18,15 @@ def parse_items(lines: DataFrame, on_bad: str = "fail", value: str = "value") ->
     df = lines.withColumn("_item", F.when(text.rlike(ITEM_PATTERN), text.try_cast("bigint")))
     bad = F.col("_item").isNull()
     return _settle(df, bad, F.coalesce(text, F.lit("NULL")), on_bad, {"item": F.col("_item")}).drop(value)
+
+
+def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
+    """A Parquet table as a stream of its files.
+
+    The path is a glob, because the file source refuses a plain path that is one file and not a folder.
+    """
+    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{folder}/{name}.parque[t]")
