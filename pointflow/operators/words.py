@@ -72,9 +72,8 @@ def doc_word_count(lines: DataFrame, keys: Sequence[str], value: str = "value")
     The tokens of a line are sorted and cut where they change; the counts are
     the distances between the cuts.
     """
-    cut = lines.select(*keys, F.array_sort(tokenize(F.col(value))).alias("_t")).where("size(_t) > 0")
-    cut = cut.selectExpr(
-        "*", "filter(sequence(0, size(_t) - 1), i -> i = 0 OR _t[i] <> _t[i - 1]) AS _starts"
+    cut = lines.select(*keys, F.sort_array(tokenize(F.col(value))).alias("_t")).selectExpr(
+        "*", "filter(transform(_t, (w, i) -> if(i > 0 AND w = _t[i - 1], -1, i)), i -> i >= 0) AS _starts"
     )
     return cut.selectExpr(
         *keys,
