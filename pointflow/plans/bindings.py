@@ -40,10 +40,14 @@ def points64(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def centers64(spark: SparkSession, folder: str) -> list[list[float]]:
-    """The first embedding of every label, in label order."""
-    firsts = table(spark, folder, "embeddings").groupBy("label").agg(
-        F.min_by("embedding", "vec_id").cast("array<double>").alias("center")
-    )
+    """The first embedding of every label, in label order.
+
+    The few ids come first, so that the second read skips row groups and no
+    aggregate has to carry embeddings.
+    """
+    rows = table(spark, folder, "embeddings")
+    ids = [r[0] for r in rows.groupBy("label").agg(F.min("vec_id")).select("min(vec_id)").collect()]
+    firsts = rows.where(F.col("vec_id").isin(ids)).withColumn("center", F.col("embedding").cast("array<double>"))
     return collect_centers(firsts, order="label")
 
 
@@ -55,6 +59,14 @@ def point_lines(spark: SparkSession, folder: str, *, tax: bool = False) -> DataF
     )
 
 
+def ab_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """`quantity,discount,label` text with the labels A, B and R."""
+    label = F.translate("l_returnflag", "N", "B")
+    return table(spark, folder, "lineitem").select(
+        F.concat_ws(",", *[F.col(c).cast("string") for c in ("l_quantity", "l_discount")], label).alias("value")
+    )
+
+
 def doc_lines(spark: SparkSession, folder: str) -> DataFrame:
     return documents_as_lines(table(spark, folder, "documents"))
 

@@ -59,7 +59,7 @@ def parse_points_2d(spark, folder):
 
 @query
 def split_groups(spark, folder):
-    parts = points.split_groups(b.point_lines(spark, folder))
+    parts = points.split_groups(b.ab_lines(spark, folder))
     sums = [F.round(F.sum(F.col("point")[j]), 4).alias(n) for j, n in enumerate(("sum_x", "sum_y"))]
     return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), *sums)
 

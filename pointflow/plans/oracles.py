@@ -264,7 +264,7 @@ ORACLES: dict[str, str] = {
        CASE WHEN l_returnflag = 'A' THEN 0 ELSE 1 END AS grp FROM lineitem""",
     "parse_points_2d": """SELECT l_quantity AS x, l_discount AS y,
        CASE WHEN l_returnflag = 'A' THEN 0 ELSE 1 END AS grp FROM lineitem""",
-    "split_groups": f"""WITH lines AS (SELECT {LINES} AS v, l_quantity AS x, l_discount AS y FROM lineitem),
+    "split_groups": """WITH lines AS (SELECT replace(l_returnflag, 'N', 'B') AS v, l_quantity AS x, l_discount AS y FROM lineitem),
 parts AS (SELECT 'U' AS part, x, y FROM lines UNION ALL SELECT 'A', x, y FROM lines WHERE v LIKE '%A'
           UNION ALL SELECT 'B', x, y FROM lines WHERE v LIKE '%B')
 SELECT part, count(*) AS n, round(sum(x), 4) AS sum_x, round(sum(y), 4) AS sum_y FROM parts GROUP BY part""",

@@ -157,6 +157,8 @@ def start_batches(
     reached = threading.Event()
 
     def process(batch: DataFrame, number: int) -> None:
+        # streams switch this off for the sake of state; here it keeps a small batch to one output file
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         seen = tables.write(batch, number, threshold)
         if threshold is not None and seen >= threshold:
             reached.set()
