@@ -101,7 +101,10 @@ def _batch_sums(rows: list[list[float]], by: list[str]):
     def measure(batch):
         matrix = matrix_of(batch.column("point"), dims)
         dist2, index = nearest_in_block(matrix, table)
-        return matrix, dist2, index * GROUPS + batch.column("grp").to_numpy()
+        grp = batch.column("grp").to_numpy(zero_copy_only=False)
+        if not np.isin(grp, range(GROUPS)).all():
+            raise ValueError("grp must be 0 or 1")
+        return matrix, dist2, index * GROUPS + grp.astype(np.int64)
 
     def whole(batches):
         n, ss, sums = np.zeros(k * GROUPS), np.zeros(k * GROUPS), np.zeros((k * GROUPS, dims))

@@ -432,7 +432,8 @@ def stream_threshold_replay(spark, folder):
 
 
 def _event_stream(spark, folder):
-    return items.stream_table(spark, folder, "events").select(F.col("user_id").alias("item"))
+    lines = items.stream_table(spark, folder, "events").select(F.col("user_id").cast("string").alias("value"))
+    return items.parse_items(lines)
 
 
 @query

@@ -30,3 +30,11 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: i
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(f"{folder}/{name}.parque[t]")
+
+
+def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """The lines of the text files that arrive in a folder, as a stream of `value`."""
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.text(path)
