@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # batch numbers are added up in blocks of 2^16, so no task sorts more rows than that within a block
 BLOCK_BITS = 16
+# microseconds before 1970 that no timestamp reaches
+FIRST_MICROS = 10**17
 
 
 def batch_number(ts: str | Column, seconds: int) -> Column:
@@ -18,9 +20,10 @@ def batch_number(ts: str | Column, seconds: int) -> Column:
         raise ValueError("seconds must be positive")
     start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     micros = F.timestamp_diff("MICROSECOND", start, at.cast("timestamp_ntz"))
-    width = F.lit(seconds * 1_000_000).cast("bigint")
-    # whole numbers throughout: the difference is a multiple of the width
-    return ((micros - F.pmod(micros, width)) / width).cast("bigint")
+    width = seconds * 1_000_000
+    # `div` cuts towards zero, so count from a number below the first year and take it off again
+    ahead = FIRST_MICROS // width + 1
+    return F.call_function("div", micros + ahead * width, F.lit(width)) - ahead
 
 
 def batch_sizes(items: DataFrame, batch: str = "batch") -> DataFrame:
