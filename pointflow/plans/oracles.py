@@ -199,7 +199,7 @@ _ONE = (*ASSIGNED, _group_means("means", "near"), *_stats("stats", "means", "nea
 LINES = "concat_ws(',', CAST(l_quantity AS VARCHAR), CAST(l_discount AS VARCHAR), l_returnflag)"
 
 WIDE = f"""centers AS (
-    SELECT row_number() OVER (ORDER BY label) - 1 AS k, c
+    SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS k, c
     FROM (SELECT label, arg_min(CAST(embedding AS DOUBLE[]), vec_id) AS c FROM embeddings GROUP BY label)),
 pairs AS (
     SELECT vec_id, label, k, e,
@@ -210,7 +210,7 @@ near AS (
 
 DOC_LINES = """lines AS (
     SELECT doc_id, unnest(string_split("text", chr(10))) AS "value",
-           generate_subscripts(string_split("text", chr(10)), 1) - 1 AS line
+           CAST(generate_subscripts(string_split("text", chr(10)), 1) - 1 AS INTEGER) AS line
     FROM documents),
 tokens AS (
     SELECT doc_id, line, CASE WHEN "value" = '' THEN [''] WHEN rtrim("value") = '' THEN []
@@ -290,7 +290,7 @@ FROM lineitem GROUP BY l_returnflag""",
     + f"SELECT phi_a, phi_b, phi FROM (SELECT {_OBJECTIVES} FROM t)",
     "cluster_group_counts": _with(*ASSIGNED)
     + f"""SELECT c.k, count(*) FILTER (WHERE grp = 0) AS n_a, count(*) FILTER (WHERE grp = 1) AS n_b
-FROM (SELECT unnest(range({K + 1})) AS k) c LEFT JOIN near ON near.k = c.k GROUP BY c.k""",
+FROM (SELECT CAST(unnest(range({K + 1})) AS INTEGER) AS k) c LEFT JOIN near ON near.k = c.k GROUP BY c.k""",
     "cluster_report": _report(False),
     "cluster_report_by_segment": _report(True),
     "cluster_group_sums": _with(*ASSIGNED)
@@ -300,7 +300,7 @@ FROM near GROUP BY k, grp""",
     + "SELECT k, grp, count(*) AS n, round(avg(x), 6) AS x, round(avg(y), 6) AS y FROM near GROUP BY k, grp",
     "cluster_group_means_wide": f"""WITH {WIDE},
 cells AS (
-    SELECT k, CASE WHEN label < 5 THEN 0 ELSE 1 END AS grp, unnest(range({b.WIDE_DIMS})) AS j, unnest(e) AS v FROM near)
+    SELECT k, CASE WHEN label < 5 THEN 0 ELSE 1 END AS grp, CAST(unnest(range({b.WIDE_DIMS})) AS INTEGER) AS j, unnest(e) AS v FROM near)
 SELECT k, grp, j, count(*) AS n, round(avg(v), 6) AS mean FROM cells GROUP BY k, grp, j""",
     "mean_vector": _with(POINTS)
     + """SELECT l_linestatus AS segment, count(*) AS n, round(avg(x), 6) AS x, round(avg(y), 6) AS y
@@ -340,7 +340,7 @@ SELECT l_orderkey, round(x + 1.5, 6) AS total_x, round(y - 2, 6) AS total_y, rou
        round(y * t, 6) AS scaled_y, round((2 - t) / 2 * x + t / 2 * 1.5, 6) AS blended_x,
        round((2 - t) / 2 * y - t / 2 * 2, 6) AS blended_y, round(x, 6) AS same_x, round(y, 6) AS same_y FROM p""",
     "tokenize": _with(DOC_LINES)
-    + "SELECT doc_id, line, len(t) AS n_tokens, array_to_string(t, '|') AS joined FROM tokens",
+    + "SELECT doc_id, line, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, '|') AS joined FROM tokens",
     "word_count": WORD_COUNT,
     "word_count_salted": WORD_COUNT,
     "word_count_salted_groupby": WORD_COUNT,
@@ -354,8 +354,8 @@ SELECT l_orderkey, round(x + 1.5, 6) AS total_x, round(y - 2, 6) AS total_y, rou
     + """SELECT (SELECT count(*) FROM lines) AS n_docs, (SELECT count(*) FROM words) AS n_tokens,
        count(*) AS n_words, round(avg(length(word)), 6) AS avg_length FROM (SELECT DISTINCT word FROM words)""",
     "word_length": _with(DOC_LINES)
-    + """SELECT word, length(word) AS points,
-       length(word) + length(regexp_replace(word, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')) AS units
+    + """SELECT word, CAST(length(word) AS INTEGER) AS points,
+       CAST(length(word) + length(regexp_replace(word, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')) AS INTEGER) AS units
 FROM (SELECT DISTINCT word FROM words)""",
     "parse_items": """SELECT event_id, CAST(v AS BIGINT) AS item
 FROM (SELECT event_id, CASE WHEN event_type = 'click' THEN ' ' ELSE '' END || CAST(user_id AS VARCHAR) AS v FROM events)

@@ -29,7 +29,7 @@ def blob_layout(ids: DataFrame, n: int, k: int, ident: str = "id") -> DataFrame:
     i = F.col(ident).cast("bigint")
     size = F.when(i < edge, small + 1).otherwise(small)
     offset = F.when(i < edge, i).otherwise(i - edge)
-    cluster = F.expr(f"div(_offset, _size)") + F.when(i < edge, 0).otherwise(longer)
+    cluster = F.expr("div(_offset, _size)") + F.when(i < edge, 0).otherwise(longer)
     majority = F.floor(F.col("_size") * MAJORITY_SHARE)
     in_majority = F.col("_offset") % F.col("_size") < majority
     even = F.col("cluster") % 2 == 0
