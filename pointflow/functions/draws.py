@@ -38,6 +38,6 @@ def gaussian_pair(pair: Column) -> Column:
     return F.struct((radius * F.cos(angle)).alias("x"), (radius * F.sin(angle)).alias("y"))
 
 
-def salt(parts: int, *keys: Column) -> Column:
+def salt(parts: int, *keys: Column | str) -> Column:
     """A bucket in [0, parts) that is the same at every attempt."""
     return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")

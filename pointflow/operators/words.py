@@ -49,11 +49,12 @@ def word_count_salted(
         raise ValueError(f"salt_from must be one of {SALT_SOURCES}")
     if salts < 1:
         raise ValueError("salts must be positive")
-    by = list(keys) if salt_from == "doc" else [*keys, "word"]
-    tokens = words(lines, value, keys)
-    first = tokens.groupBy(salt(salts, *[F.col(c) for c in by]).alias("salt"), "word").agg(
-        F.count(F.lit(1)).alias("part")
-    )
+    # hashed once per line, so that a token carries one number and not the keys
+    line = F.xxhash64(*keys) if salt_from == "word_doc" else salt(salts, *keys)
+    tokens = words(lines.select(line.alias("salt"), value), value, ["salt"])
+    if salt_from == "word_doc":
+        tokens = tokens.withColumn("salt", salt(salts, "salt", "word"))
+    first = tokens.groupBy("salt", "word").agg(F.count(F.lit(1)).alias("part"))
     return first.groupBy("word").agg(F.sum("part").alias("cnt"))
 
 

@@ -11,6 +11,7 @@ import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -40,17 +41,22 @@ def _disk_state(spark: SparkSession) -> Iterator[None]:
 
 
 def first_of_each(stream: DataFrame, item: str = "item") -> DataFrame:
-    """Drop the repeats inside each Arrow batch.
+    """Drop the repeats inside each Arrow batch; other columns keep their smallest value.
 
     `dropDuplicates` on a stream has no map-side part; with this before it, a
     hot item reaches its state task a few times per input split, not once per row.
     """
 
-    def once(frames):
-        for frame in frames:
-            yield frame.drop_duplicates([item])
+    others = [c for c in stream.columns if c != item]
 
-    return stream.mapInPandas(once, stream.schema)
+    def once(batches):
+        for batch in batches:
+            found = pa.Table.from_batches([batch]).group_by([item], use_threads=False)
+            found = found.aggregate([(c, "min") for c in others])
+            columns = [found[item if c == item else f"{c}_min"] for c in batch.schema.names]
+            yield from pa.table(columns, schema=batch.schema).to_batches()
+
+    return stream.mapInArrow(once, stream.schema)
 
 
 def stream_distinct(
