@@ -250,7 +250,13 @@ def lloyd_rounds(spark, folder):
 def fair_stats(spark, folder):
     stats = fair.fair_stats(_models(spark, folder, ["segment"]), ["segment"])
     return stats.select(
-        "segment", "k", "n_a", "n_b", *rounded("alpha", "beta", "ell"), *xy("mean_a", "a_x", "a_y"), *xy("mean_b", "b_x", "b_y")
+        "segment",
+        "k",
+        "n_a",
+        "n_b",
+        *rounded("alpha", "beta", "ell"),
+        *xy("mean_a", "a_x", "a_y"),
+        *xy("mean_b", "b_x", "b_y"),
     )
 
 

@@ -116,7 +116,8 @@ def _search(name: str, stats: str, by: str = "") -> list[str]:
     )
     cost_a = "fixed_a + list_sum(list_transform(range(1, len(a) + 1), lambda i: a[i] * x[i] * x[i]))"
     cost_b = "fixed_b + list_sum(list_transform(range(1, len(a) + 1), lambda i: b[i] * (l[i] - x[i]) * (l[i] - x[i])))"
-    lists = ", ".join(f"list({c} ORDER BY k) AS {s}" for c, s in (("k", "ks"), ("alpha", "a"), ("beta", "b"), ("ell", "l")))
+    columns = (("k", "ks"), ("alpha", "a"), ("beta", "b"), ("ell", "l"))
+    lists = ", ".join(f"list({c} ORDER BY k) AS {s}" for c, s in columns)
     ctes = [
         f"{name}_1 AS (SELECT {by} any_value(fixed_a) AS fixed_a, any_value(fixed_b) AS fixed_b, {lists}, "
         f"CAST(0.5 AS DOUBLE) AS g FROM {stats} {'GROUP BY segment' if by else ''})"

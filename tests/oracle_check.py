@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import glob
-import hashlib
 import os
 import sys
 import time
