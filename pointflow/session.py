@@ -49,3 +49,9 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         base = _local_base()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder in whatever store it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
