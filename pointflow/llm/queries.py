@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointflow.llm import forced_bpe, heavy_dedup, minhash_bayes, sainte_lague
+from pointflow.llm import forced_bpe, heavy_dedup, minhash_bayes, sainte_lague, weak_labels
 
 
 def word_bpe_file() -> str:
@@ -19,6 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    judged = weak_labels.judge_quality(table(spark, folder, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "quality.score", "quality.posterior", "quality.kept")
+
+
 def op3_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_bayes.near_components(table(spark, folder, "documents"), width=4)
 
@@ -47,6 +52,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixture": op9_mixture,
