@@ -5,7 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointflow.llm import forced_bpe, heavy_dedup, minhash_bayes, sainte_lague, weak_labels
+from pointflow.llm import (
+    forced_bpe,
+    heavy_dedup,
+    int8_tiles,
+    license_align,
+    minhash_bayes,
+    sainte_lague,
+    url_trie,
+    weak_labels,
+    zstd_language,
+)
+
+# the rules that the url query judges by
+URL_RULES = [
+    ("net", "/", url_trie.BLOCK),
+    ("example.net", "/en/", url_trie.ALLOW),
+    ("example.com", "/de/", url_trie.BLOCK),
+    ("org", "/fr/", url_trie.ALLOW),
+]
 
 
 def word_bpe_file() -> str:
@@ -24,10 +42,43 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "quality.score", "quality.posterior", "quality.kept")
 
 
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    scanned = license_align.scan_licenses(table(spark, folder, "documents").select("doc_id", "text"))
+    best = F.get("licenses", F.lit(0))
+    return scanned.select(
+        "doc_id",
+        F.size("licenses").alias("n_licenses"),
+        *[best.getField(c).alias(c) for c in ("license", "coverage", "first_word", "last_word")],
+    )
+
+
 def op3_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_bayes.near_components(table(spark, folder, "documents"), width=4)
 
 
+def op5_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
+    return int8_tiles.cosine_links(table(spark, folder, "embeddings"))
+
+
+def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = url_trie.judge_urls(table(spark, folder, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("row.page_id", "host", "path", "decision.rule", "decision.verdict")
+
+
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", part.alias("part"))
+    model = zstd_language.fit_languages(docs.where("part <> 1"))
+    judged = zstd_language.identify_languages(docs, model)
+    return judged.select(
+        "doc_id",
+        F.coalesce(F.col("part") == 1, F.lit(False)).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        "language.score",
+        "language.accepted",
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = heavy_dedup.exact_groups(table(spark, folder, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -53,13 +104,39 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_licenses": op2_licenses,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op5_embedding_links": op5_embedding_links,
+    "op6_url_rules": op6_url_rules,
+    "op7_language": op7_language,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixture": op9_mixture,
     "op10_bpe": op10_bpe,
 }
 
 ORACLES = {
+    "op6_url_rules": """
+        WITH rest AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
+            FROM pages
+        ), parts AS (
+            SELECT page_id,
+                   translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM rest
+        ), ruled AS (
+            SELECT *, CASE
+                WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+                WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+                WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/'
+                WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+            END AS rule
+            FROM parts
+        )
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+        FROM ruled
+    """,
     "op8_exact_dedup": """
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
