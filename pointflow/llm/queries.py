@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pointflow.llm import (
     forced_bpe,
     heavy_dedup,
+    html_layout,
     int8_tiles,
     license_align,
     minhash_bayes,
@@ -56,6 +57,11 @@ def op3_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_bayes.near_components(table(spark, folder, "documents"), width=4)
 
 
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "html")
+    return html_layout.extract_text(pages).select("page_id", F.col("extracted").alias("text"))
+
+
 def op5_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
     return int8_tiles.cosine_links(table(spark, folder, "embeddings"))
 
@@ -106,6 +112,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_licenses": op2_licenses,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_html_text": op4_html_text,
     "op5_embedding_links": op5_embedding_links,
     "op6_url_rules": op6_url_rules,
     "op7_language": op7_language,

@@ -33,11 +33,11 @@ from pointflow.llm.tables import need_columns
 UNKNOWN = "und"
 MIN_MARGIN = 0.01
 # the sample of a language: so many texts, and so many characters of each
-SAMPLE_TEXTS = 64
+SAMPLE_TEXTS = 128
 SAMPLE_CHARS = 1024
 # dictionaries go to every task; more languages are refused
 MAX_LANGUAGES = 512
-LEVEL = 1
+LEVEL = 6
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
