@@ -36,14 +36,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each document, and the digest of the text they decode to."""
-    path = word_bpe_file()
-    encoded = forced_bpe.encode_documents(docs.select("doc_id", "text"), path).select("doc_id", "ids")
-    decoded = forced_bpe.decode_documents(encoded, path)
-    return decoded.select(
+    coded = forced_bpe.encode_documents(docs.select("doc_id", "text"), word_bpe_file(), forms=("ids", "decoded"))
+    return coded.select(
         "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        "ids",
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.size("bpe.ids").cast("bigint").alias("n_tokens"),
+        F.col("bpe.ids").alias("ids"),
+        F.sha2(F.col("bpe.decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

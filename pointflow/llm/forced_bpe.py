@@ -8,7 +8,7 @@ concatenated. Each task remembers the ids of the white-space separated chunks
 it has met, up to a bound, so a frequent word is encoded once.
 
 The tokenizer file is read on the driver (its size is checked) and its tables
-are broadcast; executors need no file.
+are broadcast (3 MB); executors need no file.
 
 Defined results: a NULL text counts as empty; an empty text has no ids and
 decodes to the empty text. Literal special tokens in a text become their ids,
@@ -22,12 +22,12 @@ import json
 import os
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pointflow.llm.tables import need_columns
@@ -36,9 +36,9 @@ WORD_END = "</w>"
 # a larger vocabulary file is refused, as its tables go to every task
 MAX_FILE_BYTES = 64 << 20
 # chunks remembered by a task
-CACHE_CHUNKS = 1 << 19
+CACHE_CHUNKS = 1 << 18
 # characters of text that are encoded at a time
-SLICE_CHARS = 4 << 20
+SLICE_CHARS = 1 << 20
 NO_RANK = np.int64(1 << 40)
 _SLOT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -236,58 +236,53 @@ class Encoder:
         ]
 
 
-class Bpe:
-    """A tokenizer file as column functions."""
+def decode_ids(ids: np.ndarray, tokens: list[str]) -> str:
+    """The tokens of the ids with single blanks between, as this vocabulary has no decoder of its own."""
+    return " ".join(map(tokens.__getitem__, ids.tolist()))
 
-    def __init__(self, spark: SparkSession, path: str):
-        self._tables = spark.sparkContext.broadcast(read_tables(path))
 
-    def encode(self, text: str | Column) -> Column:
-        """`array<int>` of the token ids; no special tokens are added."""
-        tables = self._tables
+# what a text can be turned into, and the type of each form
+FORMS = {"ids": "array<int>", "packed": "binary", "decoded": "string"}
 
-        @F.arrow_udf("array<int>")
-        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            encoder = Encoder(tables.value)
-            for batch in batches:
-                ids, offsets = encoder.encode(batch.to_pylist())
-                yield pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
 
-        return run(text)
+def _form(name: str, ids: np.ndarray, offsets: np.ndarray, tokens: list[str]) -> pa.Array:
+    spans = list(zip(offsets.tolist(), offsets[1:].tolist()))
+    if name == "ids":
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
+    if name == "packed":
+        return pa.array([ids[a:b].tobytes() for a, b in spans], pa.binary())
+    return pa.array([decode_ids(ids[a:b], tokens) for a, b in spans], pa.string())
 
-    def decode(self, ids: str | Column) -> Column:
-        """The tokens of the ids with single blanks between, as this vocabulary has no decoder of its own."""
-        tables = self._tables
 
-        @F.arrow_udf("string")
-        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            token = tables.value["tokens"].__getitem__
-            for batch in batches:
-                offsets, values = batch.offsets.to_pylist(), batch.values.to_pylist()
-                yield pa.array([" ".join(map(token, values[a:b])) for a, b in zip(offsets, offsets[1:])], pa.string())
+def encode_documents(docs: DataFrame, path: str, text: str = "text", forms: Sequence[str] = ("ids",)) -> DataFrame:
+    """Adds `bpe`, a struct with what is asked for of the whole text's tokens.
 
-        return run(ids)
-
-
-def pack_ids(ids: str | Column) -> Column:
-    """Ids as little-endian unsigned 32-bit integers."""
-
-    @F.arrow_udf("binary")
-    def run(column: pa.Array) -> pa.Array:
-        packed = column.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-        offsets = (4 * column.offsets.to_numpy()).tolist()
-        return pa.array([packed[a:b] for a, b in zip(offsets, offsets[1:])], pa.binary())
-
-    return run(ids)
+    `ids` as a list, `packed` as little-endian unsigned 32-bit integers, and
+    `decoded`, the text that the ids stand for. All come from one pass, so that
+    a task needs one Python worker.
+    """
+    need_columns(docs, text)
+    tables = docs.sparkSession.sparkContext.broadcast(read_tables(path))
 
+    @F.arrow_udf(f"struct<{', '.join(f'{f}: {FORMS[f]}' for f in forms)}>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, tokens = Encoder(tables.value), tables.value["tokens"]
+        for batch in batches:
+            ids, offsets = encoder.encode(batch.to_pylist())
+            yield pa.StructArray.from_arrays([_form(f, ids, offsets, tokens) for f in forms], names=list(forms))
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Adds the token ids of the whole text."""
-    need_columns(docs, text)
-    return docs.withColumn(ids, Bpe(docs.sparkSession, path).encode(F.col(text)))
+    return docs.withColumn("bpe", run(F.col(text)))
 
 
 def decode_documents(docs: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """Adds the text that the ids stand for."""
+    """Adds the text that a list of ids stands for."""
     need_columns(docs, ids)
-    return docs.withColumn(decoded, Bpe(docs.sparkSession, path).decode(F.col(ids)))
+    tables = docs.sparkSession.sparkContext.broadcast(read_tables(path))
+
+    @F.arrow_udf("string")
+    def run(column: pa.Array) -> pa.Array:
+        tokens, values, offsets = tables.value["tokens"], column.values, column.offsets.to_pylist()
+        spans = zip(offsets, offsets[1:])
+        return pa.array([decode_ids(values[a:b].to_numpy(), tokens) for a, b in spans], pa.string())
+
+    return docs.withColumn(decoded, run(F.col(ids)))

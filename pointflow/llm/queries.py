@@ -98,14 +98,14 @@ def op9_mixture(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    path = word_bpe_file()
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    ids = forced_bpe.encode_documents(docs, path).select("doc_id", "ids")
-    both = forced_bpe.decode_documents(ids, path).select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), forced_bpe.pack_ids("ids").alias("packed"), "decoded"
+    coded = forced_bpe.encode_documents(docs, word_bpe_file(), forms=("packed", "decoded"))
+    return coded.select(
+        "doc_id",
+        (F.octet_length("bpe.packed") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("bpe.packed", 256).alias("ids_sha256"),
+        F.sha2(F.col("bpe.decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
-    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
-    return both.select("doc_id", "n_tokens", digest("packed").alias("ids_sha256"), digest("decoded").alias("decoded_sha256"))
 
 
 QUERIES = {
