@@ -1,7 +1,8 @@
-"""Connected components of a distributed edge list."""
+"""Connected components of a distributed edge list, and of the pairs within one task."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,3 +51,16 @@ def connected(scratch: Scratch, edges: DataFrame, name: str = "components") -> D
         raise RuntimeError("components did not settle")
     pairs = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return pairs.union(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of n nodes the smallest node that it reaches over the pairs."""
+    low = np.arange(n)
+    while True:
+        following = low.copy()
+        np.minimum.at(following, i, low[j])
+        np.minimum.at(following, j, low[i])
+        following = following[following]
+        if (following == low).all():
+            return low
+        low = following

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.components import connected
+from pointflow.llm.components import connected, forest
 from pointflow.llm.tables import Scratch, need_columns
 
 BLOCK_VECTORS = 1024
@@ -76,19 +76,6 @@ def links_between(left: np.ndarray, right: np.ndarray, threshold: float) -> tupl
     return i[stay], j[stay]
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of n nodes the smallest node that it reaches over the pairs."""
-    low = np.arange(n)
-    while True:
-        following = low.copy()
-        np.minimum.at(following, i, low[j])
-        np.minimum.at(following, j, low[i])
-        following = following[following]
-        if (following == low).all():
-            return low
-        low = following
-
-
 def _tile(threshold: float):
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()

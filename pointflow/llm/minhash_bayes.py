@@ -10,10 +10,12 @@
    once the posterior probability (uniform prior) that its similarity reaches
    the threshold is below MISS. Survivors are verified exactly on the full sets
    of their whole texts. Verified links give components.
-4. Buckets whose members are still in several components are cut into blocks,
-   and each pair of blocks compares signatures across components; what survives
-   is verified in the same way. So no pair that could join two components is
-   left out, and no bucket's pairs are all written out.
+4. Buckets whose members are still in several components are cut into blocks
+   of bounded members and shingles, and every pair of blocks, a tile, compares
+   signatures across components. Members with a survivor go on with their texts
+   to the same tile, which verifies on full sets and returns a spanning forest
+   of the links. So no pair that could join two components is left out, and no
+   bucket's pairs are ever written out.
 
 Similarities are compared in integers: 100 |A & B| >= percent |A | B|.
 
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.components import connected
+from pointflow.llm.components import connected, forest
 from pointflow.llm.shingles import BANDS, HASHES, set_key, shingle_sets, signatures, slices
 from pointflow.llm.tables import Scratch, need_columns
 
@@ -41,8 +43,14 @@ from pointflow.llm.tables import Scratch, need_columns
 MISS = 1e-7
 # marks that are compared at a time
 BATCH = 16
-# members of one block of a large bucket
+# members of one block of a large bucket, and the shingles that they may have
 BLOCK_MEMBERS = 512
+BLOCK_SHINGLES = 400_000
+# pairs whose signatures are compared at a time
+PAIR_SLICE = 1 << 16
+# shingles that so many members share are counted by a matrix product, so many columns at a time
+DENSE_FROM = 16
+DENSE_COLUMNS = 2048
 
 
 @functools.cache
@@ -142,69 +150,151 @@ def _verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, width: int, p
     return links
 
 
-def _tile_pairs(percent: int):
-    """Survivors across components within each tile; rows come sorted by tile."""
-    names = ["a", "b"]
-
-    def compare(ids, labels, sides, marks, one):
+def _pairs_apart(labels: np.ndarray, sides: np.ndarray, one: bool):
+    """Index pairs of a tile whose components differ, in slices: within the block, or from one block to the other."""
+    first = np.arange(len(labels)) if one else np.flatnonzero(sides == 0)
+    second = first if one else np.flatnonzero(sides == 1)
+    step = max(1, PAIR_SLICE // max(1, len(second)))
+    for at in range(0, len(first), step):
+        part = first[at : at + step]
+        i, j = np.repeat(part, len(second)), np.tile(second, len(part))
+        stay = labels[i] != labels[j]
         if one:
-            i, j = np.triu_indices(len(ids), 1)
-        else:
-            first, second = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
-            i, j = np.repeat(first, len(second)), np.tile(second, len(first))
-        apart = labels[i] != labels[j]
-        i, j = i[apart], j[apart]
-        stay = surviving(marks[i], marks[j], percent) if len(i) else np.zeros(0, dtype=bool)
-        return np.stack([ids[i[stay]], ids[j[stay]]])
+            stay &= i < j
+        yield i[stay], j[stay]
+
+
+def common_counts(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, in the upper triangle."""
+    n = len(offsets) - 1
+    order = np.argsort(values, kind="stable")
+    member = np.repeat(np.arange(n), np.diff(offsets))[order]
+    group = np.cumsum(np.concatenate([[0], np.diff(values[order]) != 0])) if len(values) else np.zeros(0, np.int64)
+    size = np.bincount(group, minlength=1)
+    total = np.zeros((n, n), dtype=np.float32)
+    dense = np.flatnonzero(size >= DENSE_FROM)
+    column = np.full(len(size), -1)
+    column[dense] = np.arange(len(dense))
+    of = column[group]
+    for at in range(0, len(dense), DENSE_COLUMNS):
+        here = (of >= at) & (of < at + DENSE_COLUMNS)
+        marks = np.zeros((n, DENSE_COLUMNS), dtype=np.float32)
+        marks[member[here], of[here] - at] = 1
+        total += marks @ marks.T
+    few = of < 0
+    member, group = member[few], group[few]
+    for step in range(1, DENSE_FROM - 1):
+        same = np.flatnonzero(group[step:] == group[:-step])
+        if not len(same):
+            break
+        np.add.at(total, (member[same], member[same + step]), 1)
+    return total
+
+
+def _by_tile(schema: list[str], judge):
+    """Runs `judge` on the rows of each tile; rows come sorted by tile, in batches that do not end with a tile."""
+
+    def emit(table):
+        tile = table.column("tile").to_numpy()
+        bounds = [0, *(np.flatnonzero(np.diff(tile)) + 1).tolist(), len(tile)] if len(tile) else []
+        for a, b in zip(bounds, bounds[1:]):
+            arrays = judge(table.slice(a, b - a).combine_chunks())
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=schema)
 
     def run(batches):
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            tile = held.column("tile").to_numpy()
-            edge = np.flatnonzero(np.diff(tile)) + 1
-            if not len(edge):
-                continue
-            yield from emit(held.slice(0, int(edge[-1])))
-            held = held.slice(int(edge[-1])).combine_chunks()
+            edge = np.flatnonzero(np.diff(held.column("tile").to_numpy()))
+            if len(edge):
+                last = int(edge[-1]) + 1
+                yield from emit(held.slice(0, last))
+                held = held.slice(last)
         if held is not None:
             yield from emit(held)
 
-    def emit(table):
-        tile = table.column("tile").to_numpy()
-        ids, labels = table.column("node").to_numpy(), table.column("label").to_numpy()
-        sides, one = table.column("side").to_numpy(), table.column("one").to_numpy(zero_copy_only=False)
-        marks = _marks(table.column("bands").combine_chunks())
-        bounds = [0, *(np.flatnonzero(np.diff(tile)) + 1).tolist(), len(tile)] if len(tile) else []
-        for a, b in zip(bounds, bounds[1:]):
-            found = compare(ids[a:b], labels[a:b], sides[a:b], marks[a:b], bool(one[a]))
-            yield pa.RecordBatch.from_arrays([pa.array(found.min(axis=0)), pa.array(found.max(axis=0))], names=names)
-
     return run
 
 
-def _across(scratch: Scratch, nodes: DataFrame, crowded: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Pairs `a, b` of different components that share a bucket and survive the comparison of signatures."""
+def _tile_columns(table: pa.Table):
+    one = bool(table.column("one")[0].as_py())
+    return table.column("node").to_numpy(), table.column("label").to_numpy(), table.column("side").to_numpy(), one
+
+
+def _survivors(percent: int):
+    """Members of a tile with a pair across components that survives and that no earlier band has seen."""
+
+    def judge(table):
+        ids, labels, sides, one = _tile_columns(table)
+        marks, band = _marks(table.column("bands").chunk(0)), table.column("band")[0].as_py()
+        keys, used = marks.view(np.int64), np.zeros(len(ids), dtype=bool)
+        for i, j in _pairs_apart(labels, sides, one):
+            stay = surviving(marks[i], marks[j], percent)
+            i, j = i[stay], j[stay]
+            fresh = (keys[i] == keys[j]).argmax(axis=1) == band
+            used[i[fresh]] = used[j[fresh]] = True
+        return [table.column(c).to_numpy(zero_copy_only=False)[used] for c in names]
+
+    names = ["tile", "node", "label", "side", "one"]
+    return _by_tile(names, judge)
+
+
+def _tile_links(width: int, percent: int):
+    """A spanning forest of a tile's links across components, verified on full sets."""
+
+    def judge(table):
+        ids, labels, sides, one = _tile_columns(table)
+        values, offsets = shingle_sets(table.column("text").to_pylist(), width)
+        common, n = common_counts(values, offsets), np.diff(offsets)
+        common = np.maximum(common, common.T)
+        left, right = [], []
+        for i, j in _pairs_apart(labels, sides, one):
+            c = common[i, j]
+            linked = (c > 0) & (100 * c >= percent * (n[i] + n[j] - c))
+            left.append(i[linked])
+            right.append(j[linked])
+        i, j = (np.concatenate([*x, np.zeros(0, dtype=np.int64)]).astype(np.int64) for x in (left, right))
+        root = forest(len(ids), i, j)
+        moved = np.flatnonzero(root != np.arange(len(ids)))
+        return [ids[moved], ids[root[moved]]]
+
+    return _by_tile(["a", "b"], judge)
+
+
+def _across(
+    scratch: Scratch, docs: DataFrame, nodes: DataFrame, crowded: DataFrame, comps: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """Links `a, b` between different components, from the buckets that hold more than one."""
     label = F.coalesce("component", "node")
-    members = crowded.join(comps, "node", "left").select("bucket", "node", label.alias("label"))
-    split = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m"))
-    blocks = F.ceil(F.col("m") / BLOCK_MEMBERS)
-    spread = members.join(split.where("low <> high").select("bucket", blocks.alias("blocks")), "bucket")
+    members = crowded.join(comps, "node", "left").select("bucket", "band", "node", "n", label.alias("label"))
+    split = members.groupBy("bucket").agg(
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"),
+    )
+    spread = members.join(split.where("low <> high").select("bucket", "blocks"), "bucket")
     block = F.pmod(F.xxhash64("node", F.lit(7)), "blocks").alias("block")
-    placed = spread.select("bucket", "node", "label", "blocks", block)
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
-    first, second = F.least("block", "other"), F.greatest("block", "other")
-    tiles = placed.select("bucket", "node", "label", "block", other).select(
-        F.xxhash64("bucket", first, second).alias("tile"),
+    tiles = spread.select("bucket", "band", "node", "label", block, other).select(
+        F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("tile"),
+        "band",
         "node",
         "label",
         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
         (F.col("block") == F.col("other")).alias("one"),
     )
-    rows = tiles.join(nodes.select("node", "bands"), "node")
-    sorted_rows = rows.repartition("tile").sortWithinPartitions("tile", "side", "node")
-    return sorted_rows.mapInArrow(_tile_pairs(percent), "a bigint, b bigint").distinct()
+
+    def sorted_tiles(rows: DataFrame) -> DataFrame:
+        return rows.repartition("tile").sortWithinPartitions("tile", "side", "node")
+
+    fields = "tile bigint, node bigint, label bigint, side int, one boolean"
+    signed = sorted_tiles(tiles.join(nodes.select("node", "bands"), "node"))
+    tested = scratch.keep(signed.mapInArrow(_survivors(percent), fields), "tested")
+    needed = tested.select(F.col("node").alias("id")).distinct()
+    texts = docs.join(needed, "id", "left_semi").select(F.col("id").alias("node"), "text")
+    read = sorted_tiles(tested.join(texts, "node"))
+    return read.mapInArrow(_tile_links(width, percent), "a bigint, b bigint").distinct()
 
 
 def near_components(
@@ -217,11 +307,11 @@ def near_components(
     parts = shingle_columns("text", width)
     rows = scratch.keep(docs.select("id", parts.alias("s")).select("id", "s.n", "s.key", "s.bands"), "rows")
     named = rows.where("key IS NOT NULL AND id IS NOT NULL")
-    nodes = scratch.keep(named.groupBy("key", "bands").agg(F.min("id").alias("node")), "nodes")
+    nodes = scratch.keep(named.groupBy("key", "n", "bands").agg(F.min("id").alias("node")), "nodes")
     rows = rows.select("id", "n", "key")
 
-    exploded = nodes.select("node", F.posexplode("bands").alias("band", "mark"))
-    buckets = exploded.select("node", F.xxhash64("band", "mark").alias("bucket"))
+    exploded = nodes.select("node", "n", F.posexplode("bands").alias("band", "mark"))
+    buckets = exploded.select("node", "n", "band", F.xxhash64("band", "mark").alias("bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("m")).where("m > 1")
     members = scratch.keep(buckets.join(hubs, "bucket"), "members")
     pairs = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
@@ -233,10 +323,9 @@ def near_components(
     comps = scratch.keep(connected(scratch, links, "first"), "first")
 
     # in a bucket of two the one pair has been judged
-    crowded = members.where("m > 2").select("bucket", "node")
-    across = scratch.keep(_across(scratch, nodes, crowded, comps, percent), "across")
-    scratch.drop("members")
-    more = _verified(scratch, docs, across, width, percent, "more")
+    crowded = members.where("m > 2").select("bucket", "band", "node", "n")
+    more = scratch.keep(_across(scratch, docs, nodes, crowded, comps, width, percent), "more")
+    scratch.drop("members", "tested")
     if not more.isEmpty():
         comps = scratch.keep(connected(scratch, links.union(more), "second"), "second")
 
