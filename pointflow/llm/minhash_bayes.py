@@ -138,16 +138,12 @@ def _linked(width: int, percent: int):
     return run
 
 
-def _verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, width: int, percent: int, name: str) -> DataFrame:
-    """The links among `pairs(a, b)`; only the texts that a pair needs are kept and shuffled with it."""
-    needed = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = scratch.keep(docs.join(needed, "id", "left_semi").select("id", "text"), f"{name}-texts")
-    joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a").join(
-        texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b"
+def _verified(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The links among `pairs(a, b)`."""
+    joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(
+        texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b"
     )
-    links = scratch.keep(joined.where(_linked(width, percent)("left", "right")).select("a", "b"), name)
-    scratch.drop(f"{name}-texts")
-    return links
+    return joined.where(_linked(width, percent)("left", "right")).select("a", "b")
 
 
 def _pairs_apart(labels: np.ndarray, sides: np.ndarray, one: bool):
@@ -227,8 +223,10 @@ def _survivors(percent: int):
 
     def judge(table):
         ids, labels, sides, one = _tile_columns(table)
-        marks, band = _marks(table.column("bands").chunk(0)), table.column("band")[0].as_py()
+        marks = _marks(table.column("bands").chunk(0))
         keys, used = marks.view(np.int64), np.zeros(len(ids), dtype=bool)
+        # the first band in which all agree; an earlier one of a pair is a bucket that sees the pair too
+        band = (keys == keys[0]).all(axis=0).argmax()
         for i, j in _pairs_apart(labels, sides, one):
             stay = surviving(marks[i], marks[j], percent)
             i, j = i[stay], j[stay]
@@ -263,36 +261,30 @@ def _tile_links(width: int, percent: int):
 
 
 def _across(
-    scratch: Scratch, docs: DataFrame, nodes: DataFrame, crowded: DataFrame, comps: DataFrame, width: int, percent: int
+    scratch: Scratch, texts: DataFrame, nodes: DataFrame, crowded: DataFrame, comps: DataFrame, width: int, percent: int
 ) -> DataFrame:
     """Links `a, b` between different components, from the buckets that hold more than one."""
-    label = F.coalesce("component", "node")
-    members = crowded.join(comps, "node", "left").select("bucket", "band", "node", "n", label.alias("label"))
-    split = members.groupBy("bucket").agg(
-        F.min("label").alias("low"),
-        F.max("label").alias("high"),
-        F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"),
-    )
-    spread = members.join(split.where("low <> high").select("bucket", "blocks"), "bucket")
-    block = F.pmod(F.xxhash64("node", F.lit(7)), "blocks").alias("block")
+    members = crowded.join(comps, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("label"))
+    mixed = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    signed = scratch.keep(members.join(mixed, "bucket", "left_semi").join(nodes.select("node", "n", "bands"), "node"), "mixed")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks")
+    spread = signed.join(signed.groupBy("bucket").agg(blocks), "bucket")
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
-    tiles = spread.select("bucket", "band", "node", "label", block, other).select(
+    tiles = spread.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks")).select("*", other)
+    tiles = tiles.select(
         F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("tile"),
-        "band",
         "node",
         "label",
         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
         (F.col("block") == F.col("other")).alias("one"),
+        "bands",
     )
 
     def sorted_tiles(rows: DataFrame) -> DataFrame:
         return rows.repartition("tile").sortWithinPartitions("tile", "side", "node")
 
     fields = "tile bigint, node bigint, label bigint, side int, one boolean"
-    signed = sorted_tiles(tiles.join(nodes.select("node", "bands"), "node"))
-    tested = scratch.keep(signed.mapInArrow(_survivors(percent), fields), "tested")
-    needed = tested.select(F.col("node").alias("id")).distinct()
-    texts = docs.join(needed, "id", "left_semi").select(F.col("id").alias("node"), "text")
+    tested = scratch.keep(sorted_tiles(tiles).mapInArrow(_survivors(percent), fields), "tested")
     read = sorted_tiles(tested.join(texts, "node"))
     return read.mapInArrow(_tile_links(width, percent), "a bigint, b bigint").distinct()
 
@@ -310,22 +302,26 @@ def near_components(
     nodes = scratch.keep(named.groupBy("key", "n", "bands").agg(F.min("id").alias("node")), "nodes")
     rows = rows.select("id", "n", "key")
 
-    exploded = nodes.select("node", "n", F.posexplode("bands").alias("band", "mark"))
-    buckets = exploded.select("node", "n", "band", F.xxhash64("band", "mark").alias("bucket"))
+    exploded = nodes.select("node", F.posexplode("bands").alias("band", "mark"))
+    buckets = exploded.select("node", F.xxhash64("band", "mark").alias("bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("m")).where("m > 1")
     members = scratch.keep(buckets.join(hubs, "bucket"), "members")
+    # in a bucket of two the one pair is judged by way of the hub
+    crowded = members.where("m > 2").select("bucket", "node")
     pairs = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     signed = pairs.join(nodes.select(F.col("node").alias("a"), F.col("bands").alias("left")), "a").join(
         nodes.select(F.col("node").alias("b"), F.col("bands").alias("right")), "b"
     )
     alike = scratch.keep(signed.where(_alike(percent)("left", "right")).select("a", "b"), "alike")
-    links = _verified(scratch, docs, alike, width, percent, "links")
-    comps = scratch.keep(connected(scratch, links, "first"), "first")
 
-    # in a bucket of two the one pair has been judged
-    crowded = members.where("m > 2").select("bucket", "band", "node", "n")
-    more = scratch.keep(_across(scratch, docs, nodes, crowded, comps, width, percent), "more")
-    scratch.drop("members", "tested")
+    # texts are shuffled once, for all that may have to be verified
+    needed = crowded.select(F.col("node").alias("id")).union(alike.select("a")).union(alike.select("b")).distinct()
+    texts = docs.join(needed, "id", "left_semi").select(F.col("id").alias("node"), "text")
+    texts = scratch.keep(texts, "texts")
+    links = scratch.keep(_verified(texts, alike, width, percent), "links")
+    comps = scratch.keep(connected(scratch, links, "first"), "first")
+    more = scratch.keep(_across(scratch, texts, nodes, crowded, comps, width, percent), "more")
+    scratch.drop("members", "mixed", "tested", "texts")
     if not more.isEmpty():
         comps = scratch.keep(connected(scratch, links.union(more), "second"), "second")
 
