@@ -30,15 +30,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_columns
+from pointflow.llm.tables import need_columns, text_slices
 
 WORD_END = "</w>"
 # a larger vocabulary file is refused, as its tables go to every task
 MAX_FILE_BYTES = 64 << 20
 # chunks remembered by a task
 CACHE_CHUNKS = 1 << 18
-# characters of text that are encoded at a time
-SLICE_CHARS = 1 << 20
+# bytes of text that are encoded at a time
+SLICE_BYTES = 1 << 20
 NO_RANK = np.int64(1 << 40)
 _SLOT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -208,13 +208,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the n + 1 offsets of the texts in them."""
-        packed: list[bytes] = []
-        start = size = 0
-        for i, text in enumerate(texts):
-            size += len(text) if text else 0
-            if size >= SLICE_CHARS or i + 1 == len(texts):
-                packed += self._encode_slice(texts[start : i + 1])
-                start, size = i + 1, 0
+        packed = self._encode_slice(texts)
         lengths = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
         return np.frombuffer(b"".join(packed), dtype="<u4"), np.concatenate([[0], np.cumsum(lengths)])
 
@@ -267,8 +261,8 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", forms: Sequ
     @F.arrow_udf(f"struct<{', '.join(f'{f}: {FORMS[f]}' for f in forms)}>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, tokens = Encoder(tables.value), tables.value["tokens"]
-        for batch in batches:
-            ids, offsets = encoder.encode(batch.to_pylist())
+        for texts in text_slices(batches, SLICE_BYTES):
+            ids, offsets = encoder.encode(texts)
             yield pa.StructArray.from_arrays([_form(f, ids, offsets, tokens) for f in forms], names=list(forms))
 
     return docs.withColumn("bpe", run(F.col(text)))

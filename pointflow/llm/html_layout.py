@@ -21,13 +21,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_columns
+from pointflow.llm.tables import need_columns, text_slices
 
 MAX_PAD = 200
 MAX_SPAN = 1000
@@ -382,7 +383,8 @@ def extract_text(pages: DataFrame, html: str = "html", extracted: str = "extract
     need_columns(pages, html)
 
     @F.arrow_udf("string")
-    def run(column: pa.Array) -> pa.Array:
-        return pa.array([visible_text(h) for h in column.to_pylist()], pa.string())
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in text_slices(batches):
+            yield pa.array([visible_text(t) for t in texts], pa.string())
 
     return pages.withColumn(extracted, run(html))

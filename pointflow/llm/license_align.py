@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_columns
+from pointflow.llm.tables import need_columns, text_slices
 
 MIN_COVERAGE = 0.8
 WORDS = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
@@ -149,7 +149,7 @@ def scan_licenses(
         item = pa.struct(
             [("license", pa.string()), ("coverage", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64())]
         )
-        for batch in batches:
-            yield pa.array([scan_all(t, cut, least) for t in batch.to_pylist()], pa.list_(item))
+        for texts in text_slices(batches):
+            yield pa.array([scan_all(t, cut, least) for t in texts], pa.list_(item))
 
     return docs.withColumn("licenses", run(text))

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointflow.llm.components import connected, forest
-from pointflow.llm.shingles import BANDS, HASHES, set_key, shingle_sets, signatures, slices
-from pointflow.llm.tables import Scratch, need_columns
+from pointflow.llm.shingles import BANDS, HASHES, set_key, shingle_sets, signatures
+from pointflow.llm.tables import Scratch, need_columns, text_slices
 
 # probability with which a pair at the threshold may be pruned
 MISS = 1e-7
@@ -94,19 +95,15 @@ def shingle_columns(text: str | Column, width: int) -> Column:
     """`n` distinct shingles, `key` of the set (NULL if empty) and `bands`, the signature as 64-bit band keys."""
 
     @F.arrow_udf("struct<n: bigint, key: binary, bands: array<bigint>>")
-    def run(column: pa.Array) -> pa.Array:
-        texts = column.to_pylist()
-        counts, keys, bands = [], [], []
-        for lo, hi in slices(texts):
-            values, offsets = shingle_sets(texts[lo:hi], width)
-            n = np.diff(offsets)
-            counts.append(n)
-            keys += [set_key(values[a:b]) if b > a else None for a, b in zip(offsets, offsets[1:])]
-            bands.append(signatures(values, offsets).view(np.int64))
-        n = np.concatenate([*counts, np.zeros(0, dtype=np.int64)])
-        flat = np.concatenate([*bands, np.zeros((0, BANDS), dtype=np.int64)]).reshape(-1)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), pa.array(flat))
-        return pa.StructArray.from_arrays([pa.array(n), pa.array(keys, pa.binary()), lists], names=["n", "key", "bands"])
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in text_slices(batches):
+            values, offsets = shingle_sets(texts, width)
+            keys = [set_key(values[a:b]) if b > a else None for a, b in zip(offsets, offsets[1:])]
+            bands = signatures(values, offsets).view(np.int64)
+            starts = pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32))
+            lists = pa.ListArray.from_arrays(starts, pa.array(bands.reshape(-1)))
+            counts = pa.array(np.diff(offsets))
+            yield pa.StructArray.from_arrays([counts, pa.array(keys, pa.binary()), lists], names=["n", "key", "bands"])
 
     return run(text)
 
@@ -125,14 +122,10 @@ def _linked(width: int, percent: int):
     @F.arrow_udf("boolean")
     def run(left: pa.Array, right: pa.Array) -> pa.Array:
         out = np.zeros(len(left), dtype=bool)
-        both = [t for pair in zip(left.to_pylist(), right.to_pylist()) for t in pair]
-        # slices keep pairs together, as a slice of pairs is a slice of every second text
-        for lo, hi in slices([(a or "") + (b or "") for a, b in zip(both[::2], both[1::2])]):
-            values, offsets = shingle_sets(both[2 * lo : 2 * hi], width)
-            for i in range(hi - lo):
-                a, b, c = offsets[2 * i : 2 * i + 3]
-                common = len(np.intersect1d(values[a:b], values[b:c], assume_unique=True))
-                out[lo + i] = common > 0 and 100 * common >= percent * ((c - a) - common)
+        for k in range(len(left)):
+            values, (a, b, c) = shingle_sets([left[k].as_py(), right[k].as_py()], width)
+            common = len(np.intersect1d(values[a:b], values[b:c], assume_unique=True))
+            out[k] = common > 0 and 100 * common >= percent * ((c - a) - common)
         return pa.array(out)
 
     return run

@@ -16,8 +16,6 @@ import pandas as pd
 HASHES = 128
 BAND_ROWS = 4
 BANDS = HASHES // BAND_ROWS
-# bytes of text that are cut into words at a time, which bounds the word objects in memory
-SLICE_BYTES = 4 << 20
 # shingles that are hashed at a time, so that a block stays in cache
 BLOCK_SHINGLES = 1 << 15
 
@@ -38,19 +36,6 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split() if text else []
 
 
-def slices(texts: list[str | None]):
-    """Ranges of texts of about SLICE_BYTES each; a longer text is a range of its own."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        n = len(text) if text else 0
-        if size and size + n > SLICE_BYTES:
-            yield start, i
-            start, size = i, 0
-        size += n
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def hash_words(words: list[bytes]) -> np.ndarray:
     cells = np.empty(len(words), dtype=object)
     cells[:] = words

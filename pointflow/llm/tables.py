@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from pointflow.session import drop_folder, scratch_folder
@@ -34,3 +39,20 @@ def need_columns(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
+
+
+def text_slices(batches: Iterator[pa.Array], limit: int = 2 << 20) -> Iterator[list[str | None]]:
+    """The texts of Arrow batches in lists of about `limit` bytes each; a longer text is a list of its own.
+
+    A batch has a fixed number of rows, whatever their lengths. What a task
+    makes of a list goes back before the next one is read, so its memory depends
+    on the limit and the longest text alone.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(start, stop - start).to_pylist()
+            start = stop

@@ -25,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.shingles import slices
-from pointflow.llm.tables import need_columns
+from pointflow.llm.tables import need_columns, text_slices
 
 BAD, GOOD, NONE = 0, 1, 2
 # documents of each side that the scorer is trained on, a documented bound
@@ -214,15 +213,11 @@ def train_scorer(row: np.ndarray, slot: np.ndarray, value: np.ndarray, target: n
     return theta[:-1], float(theta[-1])
 
 
-def _batched(texts: list[str | None]):
-    return ((lo, texts[lo:hi]) for lo, hi in slices(texts))
-
-
 def _pattern_column(text: str | Column) -> Column:
     @F.arrow_udf("bigint")
-    def run(column: pa.Array) -> pa.Array:
-        found = [vote_patterns(part)[0] for _, part in _batched(column.to_pylist())]
-        return pa.array(np.concatenate([*found, np.zeros(0, dtype=np.int64)]))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in text_slices(batches):
+            yield pa.array(vote_patterns(texts)[0])
 
     return run(text)
 
@@ -243,15 +238,11 @@ class QualityModel:
 
         @F.arrow_udf("struct<score: double, posterior: double, kept: boolean>")
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for batch in batches:
-                scores, posteriors = [np.zeros(0)], [np.zeros(0)]
-                for _, part in _batched(batch.to_pylist()):
-                    pattern, words = vote_patterns(part)
-                    scores.append(np.where(words > 0, score_texts(part, weights, bias), 0.0))
-                    posteriors.append(table[pattern])
-                score = np.concatenate(scores)
+            for texts in text_slices(batches):
+                pattern, words = vote_patterns(texts)
+                score = np.where(words > 0, score_texts(texts, weights, bias), 0.0)
                 yield pa.StructArray.from_arrays(
-                    [pa.array(score), pa.array(np.concatenate(posteriors)), pa.array(score >= KEEP_FROM)],
+                    [pa.array(score), pa.array(table[pattern]), pa.array(score >= KEEP_FROM)],
                     names=["score", "posterior", "kept"],
                 )
 
@@ -290,12 +281,12 @@ def fit_quality(docs: DataFrame, ident: str = "doc_id", text: str = "text", samp
     good = F.col("pattern").isin([p for p, v in by_pattern.items() if v >= 0.5])
 
     @F.arrow_udf("struct<slots: array<int>, shares: array<double>>")
-    def features(column: pa.Array) -> pa.Array:
-        pairs = [_trigram_shares(t) for t in column.to_pylist()]
-        return pa.StructArray.from_arrays(
-            [pa.array([p[0] for p in pairs], pa.list_(pa.int32())), pa.array([p[1] for p in pairs], pa.list_(pa.float64()))],
-            names=["slots", "shares"],
-        )
+    def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in text_slices(batches):
+            pairs = [_trigram_shares(t) for t in texts]
+            slots = pa.array([p[0] for p in pairs], pa.list_(pa.int32()))
+            shares = pa.array([p[1] for p in pairs], pa.list_(pa.float64()))
+            yield pa.StructArray.from_arrays([slots, shares], names=["slots", "shares"])
 
     picked = [
         drawn.where(side_rows & (unit < part[side])).orderBy("draw").limit(sample).select("pattern", "text")

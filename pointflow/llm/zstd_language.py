@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_columns
+from pointflow.llm.tables import need_columns, text_slices
 
 UNKNOWN = "und"
 MIN_MARGIN = 0.01
@@ -70,8 +70,8 @@ class LanguageModel:
         @F.arrow_udf("struct<lang: string, score: double, accepted: boolean>")
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             names, tools = list(shared.value.dictionaries), shared.value.compressors()
-            for batch in batches:
-                found = [predict(t, names, tools) for t in batch.to_pylist()]
+            for texts in text_slices(batches):
+                found = [predict(t, names, tools) for t in texts]
                 score = np.array([f[1] for f in found], dtype=float)
                 lang = pa.array([f[0] for f in found], pa.string())
                 accepted = pa.array(score >= MIN_MARGIN)
