@@ -26,14 +26,27 @@ def arguments() -> argparse.ArgumentParser:
     command.add_argument("path")
     command.add_argument("threshold", type=int)
     command.add_argument("--interval")
+    command.add_argument("--folder", help="keep the tables here, to go on after a restart")
     command = commands.add_parser("generate")
     command.add_argument("path")
     command.add_argument("n", type=int)
     command.add_argument("k", type=int)
     command.add_argument("--seed", type=int, default=42)
+    for name in ("clusters", "fairness", "words", "distinct"):
+        commands.choices[name].add_argument("--out", help="write all rows as JSON lines below this folder")
+        commands.choices[name].add_argument("--rows", type=int, default=100, help="rows of a table that are shown")
     return parser
 
 
+def show(name: str, frame, rows: int) -> None:
+    """The first rows of a table, and how many there are if that is not all."""
+    print(name)
+    frame.show(rows, truncate=False)
+    total = frame.count()
+    if total > rows:
+        print(f"{rows} of {total} rows; --out writes all of them")
+
+
 RUN = {
     "clusters": programs.clusters,
     "fairness": programs.fairness,
@@ -45,10 +58,13 @@ RUN = {
 
 def main(argv: list[str] | None = None) -> None:
     options = vars(arguments().parse_args(argv))
+    out, rows = options.pop("out", None), options.pop("rows", 100)
     frames = RUN[options.pop("command")](get_session(), **options)
     for name, frame in (frames or {}).items():
-        print(name)
-        frame.show(100, truncate=False)
+        if out:
+            frame.write.mode("error").json(f"{out.rstrip('/')}/{name}")
+        else:
+            show(name, frame, rows)
 
 
 if __name__ == "__main__":

@@ -16,8 +16,11 @@ def sqdist(p: Column, q: Column) -> Column:
 
 
 def sqdist_text(point: str, table: str, row: int, dims: int) -> str:
-    """`sqdist` to row `row` of a flat table column as plain SQL arithmetic, in the same order of summation."""
-    gaps = [f"({point}[{j}] - {table}[{row * dims + j}])" for j in range(dims)]
+    """`sqdist` to row `row` of a flat table column as plain SQL arithmetic, in the same order of summation.
+
+    A point that is too short gives NULL, so that the check of its width is what fails.
+    """
+    gaps = [f"(get({point}, {j}) - {table}[{row * dims + j}])" for j in range(dims)]
     return " + ".join(f"{g} * {g}" for g in gaps)
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointflow.functions.vectors import flat_table_text, sqdist, sqdist_text, table_text
@@ -22,8 +22,8 @@ STRATEGIES = ("auto", "unrolled", "lambda", "arrow")
 UNROLLED_CELLS = 24
 # cells of one distance block inside a task: points are cut so that it stays in cache
 BLOCK_CELLS = 1 << 16
-# centers live on the driver and in every task, as they do in pyspark.ml
-MAX_CENTER_BYTES = 512 << 20
+# centers live on the driver, in every task and as text in the plan, so this is far below what pyspark.ml takes
+MAX_CENTER_BYTES = 32 << 20
 
 Centers = Sequence[Sequence[float]]
 
@@ -51,12 +51,17 @@ def centers_frame(spark, centers: Centers) -> DataFrame:
 def collect_centers(df: DataFrame, center: str = "center", order: str = "k") -> list[list[float]]:
     """A center table as a checked list.
 
-    The size is tested on the cluster first; nothing larger than a center set comes to the driver.
+    Rows whose cells, counted up to them, go beyond the bound are cut off where
+    they are made, so in one pass nothing larger than a center set comes to the
+    driver, and a larger one is refused.
     """
-    size = df.agg(F.sum(F.size(center)).alias("cells")).first()["cells"] or 0
-    if size * 8 > MAX_CENTER_BYTES:
+    most = MAX_CENTER_BYTES // 8
+    rows = df.select(order, center).orderBy(order).limit(most + 1)
+    cells = F.sum(F.size(center)).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    found = rows.withColumn("__before", F.coalesce(cells, F.lit(0))).where(F.col("__before") <= most).collect()
+    if found and found[-1]["__before"] + len(found[-1][center] or ()) > most:
         raise ValueError("center set too large to send to every task")
-    return as_centers([r[center] for r in df.orderBy(order).select(center).collect()])
+    return as_centers([r[center] for r in found])
 
 
 def pick_strategy(k: int, dims: int) -> str:
@@ -85,12 +90,12 @@ def nearest_in_block(points: np.ndarray, centers: np.ndarray) -> tuple[np.ndarra
 
 
 def matrix_of(column, dims: int) -> np.ndarray:
-    """An Arrow list column as an (n, dims) array; refuses missing points and other widths."""
-    if column.null_count:
-        raise ValueError("a point is NULL")
+    """An Arrow list column as an (n, dims) array; refuses missing points and coordinates, and other widths."""
     lengths = np.diff(column.offsets.to_numpy())
-    if (lengths != dims).any():
+    if column.null_count or (lengths != dims).any():
         raise ValueError(f"a point does not have {dims} coordinates")
+    if column.flatten().null_count:
+        raise ValueError("a point has a NULL coordinate")
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
@@ -105,9 +110,17 @@ def _nearest_udf(centers: list[list[float]]):
     return nearest
 
 
-def _width_text(point: str, dims: int, value: str) -> str:
-    """`value`, or an error for a point of another width."""
-    return f"if(size({point}) <=> {dims}, {value}, raise_error('a point does not have {dims} coordinates'))"
+def whole_text(point: str, dims: int, value: str) -> str:
+    """`value`, or an error for a point of another width or without one of its coordinates.
+
+    All forms of assignment refuse the same points, whatever K and D.
+    """
+    if dims <= UNROLLED_CELLS:
+        missing = " OR ".join(f"get({point}, {j}) IS NULL" for j in range(dims))
+    else:
+        missing = f"exists({point}, v -> v IS NULL)"
+    inner = f"if({missing}, raise_error('a point has a NULL coordinate'), {value})"
+    return f"if(size({point}) <=> {dims}, {inner}, raise_error('a point does not have {dims} coordinates'))"
 
 
 def assign_nearest(
@@ -131,37 +144,43 @@ def assign_nearest(
     df, d, k = _BUILDERS[strategy](points, rows, point)
     if cap is not None:
         d, k = F.least(d, F.lit(float(cap))), F.when(d < cap, k).otherwise(0)
-    return df.select(*points.columns, d.alias(dist2), k.cast("int").alias(index))
+    return df.select(*[f"`{c}`" for c in points.columns], d.alias(dist2), k.cast("int").alias(index))
+
+
+# working columns, by a name that no table has
+WORK = "__pointflow_"
 
 
 def _unrolled(points: DataFrame, rows: list[list[float]], point: str):
     # each distance is its own column, so it is computed once for both results
     dims = len(rows[0])
-    texts = [sqdist_text(f"`{point}`", "_c", i, dims) for i in range(len(rows))]
-    texts[0] = _width_text(f"`{point}`", dims, texts[0])
-    names = [f"_d{i}" for i in range(len(rows))]
-    low = f"least({', '.join(names)})" if len(rows) > 1 else "_d0"
-    cases = " ".join(f"WHEN {n} = _low THEN {i}" for i, n in enumerate(names))
+    texts = [sqdist_text(f"`{point}`", f"{WORK}c", i, dims) for i in range(len(rows))]
+    texts[0] = whole_text(f"`{point}`", dims, texts[0])
+    names = [f"{WORK}d{i}" for i in range(len(rows))]
+    low = f"least({', '.join(names)})" if len(rows) > 1 else names[0]
+    cases = " ".join(f"WHEN {n} = {WORK}low THEN {i}" for i, n in enumerate(names))
     df = points.selectExpr(
         "*",
-        f"{flat_table_text(rows)} AS _c",
+        f"{flat_table_text(rows)} AS {WORK}c",
         *[f"{t} AS {n}" for t, n in zip(texts, names)],
-        f"{low} AS _low",
-        f"CASE {cases} END AS _k",
+        f"{low} AS {WORK}low",
+        f"CASE {cases} END AS {WORK}k",
     )
-    return df, F.col("_low"), F.col("_k")
+    return df, F.col(f"{WORK}low"), F.col(f"{WORK}k")
 
 
 def _lambda(points: DataFrame, rows: list[list[float]], point: str):
-    safe = points.selectExpr("*", _width_text(f"`{point}`", len(rows[0]), f"`{point}`") + " AS _p")
-    ranked = F.transform(F.expr(table_text(rows)), lambda c, i: F.struct(sqdist(F.col("_p"), c).alias("d"), i.alias("i")))
-    df = safe.withColumn("_best", F.array_min(ranked))
-    return df, F.col("_best.d"), F.col("_best.i")
+    safe = points.selectExpr("*", whole_text(f"`{point}`", len(rows[0]), f"`{point}`") + f" AS {WORK}p")
+    ranked = F.transform(
+        F.expr(table_text(rows)), lambda c, i: F.struct(sqdist(F.col(f"{WORK}p"), c).alias("d"), i.alias("i"))
+    )
+    df = safe.withColumn(f"{WORK}best", F.array_min(ranked))
+    return df, F.col(f"{WORK}best.d"), F.col(f"{WORK}best.i")
 
 
 def _arrow(points: DataFrame, rows: list[list[float]], point: str):
-    df = points.withColumn("_best", _nearest_udf(rows)(F.col(point).cast("array<double>")))
-    return df, F.col("_best.dist2"), F.col("_best.k")
+    df = points.withColumn(f"{WORK}best", _nearest_udf(rows)(F.col(f"`{point}`").cast("array<double>")))
+    return df, F.col(f"{WORK}best.dist2"), F.col(f"{WORK}best.k")
 
 
 _BUILDERS = {"unrolled": _unrolled, "lambda": _lambda, "arrow": _arrow}
@@ -169,9 +188,10 @@ _BUILDERS = {"unrolled": _unrolled, "lambda": _lambda, "arrow": _arrow}
 
 def nearest_index(points: DataFrame, centers: Centers, strategy: str = "auto", point: str = "point") -> DataFrame:
     """Adds `k` alone; -1 where no distance is a number below the largest double."""
-    best = assign_nearest(points, centers, strategy, point, dist2="_low", index="k")
-    found = F.col("_low") < F.lit(sys.float_info.max)
-    return best.withColumn("k", F.when(found, F.col("k")).otherwise(-1)).drop("_low")
+    low = f"{WORK}nearest"
+    best = assign_nearest(points, centers, strategy, point, dist2=low, index="k")
+    found = F.col(low) < F.lit(sys.float_info.max)
+    return best.withColumn("k", F.when(found, F.col("k")).otherwise(-1)).drop(low)
 
 
 def nearest_dist2(

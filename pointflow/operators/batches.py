@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# batch numbers are added up in blocks of 2^16, so no task sorts more rows than that within a block
-BLOCK_BITS = 16
+# batch numbers are added up in blocks of 2^22, and blocks in blocks; three levels hold all 64-bit numbers
+BLOCK_BITS = 22
+LEVELS = 3
 # microseconds before 1970 that no timestamp reaches
 FIRST_MICROS = 10**17
 
@@ -27,26 +28,36 @@ def batch_number(ts: str | Column, seconds: int) -> Column:
 
 
 def batch_sizes(items: DataFrame, batch: str = "batch") -> DataFrame:
-    """`(batch, n)`; batches without items have no row."""
-    return items.groupBy(batch).agg(F.count(F.lit(1)).alias("n"))
+    """`(batch, n)`; batches without items have no row, items without a batch are left out."""
+    return items.where(F.col(batch).isNotNull()).groupBy(batch).agg(F.count(F.lit(1)).alias("n"))
 
 
 def running_before(sizes: DataFrame, batch: str = "batch") -> DataFrame:
-    """Adds `n_before`, the sum of `n` over all smaller batch numbers.
+    """Adds `n_before`, the sum of `n` over all smaller batch numbers; rows without a number are left out.
 
-    A window over all batches would sort them in one task. Here batches are
-    summed within blocks of 65,536 numbers, and only the block totals in one
-    task: a year of 100 ms batches has fewer than 5,000 blocks.
+    A window over all batches would sort them in one task. Here they are summed
+    within blocks of numbers, the totals of blocks within larger blocks, and
+    only the largest blocks, at most 2^20 of them, in one task, however far
+    apart the numbers are.
     """
-    # never NULL, so the join adds no filter and both sides reuse one shuffle of the sizes
-    block = F.coalesce(F.shiftright(F.col(batch), BLOCK_BITS), F.lit(0)).alias("_block")
-    own = sizes.select("*", block)
+    known = sizes.where(F.col(batch).isNotNull())
+    at = known.select("*", F.col(batch).cast("bigint").alias("__at"))
+    return _before(at, LEVELS).select(*sizes.columns, "n_before")
+
+
+def _before(rows: DataFrame, levels: int) -> DataFrame:
+    """Adds the sum of `n` over all smaller values of `__at`, which is unique and not NULL."""
     upto = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    inside = own.selectExpr("*", f"sum(n) OVER (PARTITION BY _block ORDER BY `{batch}` {upto}) AS _inside")
-    totals = own.groupBy("_block").agg(F.sum("n").alias("_n"))
-    earlier = totals.selectExpr("_block", f"sum(_n) OVER (ORDER BY _block {upto}) AS _earlier")
-    n_before = F.coalesce("_inside", F.lit(0)) + F.coalesce("_earlier", F.lit(0))
-    return inside.join(earlier, "_block").select(*sizes.columns, n_before.alias("n_before"))
+    if levels == 1:
+        return rows.selectExpr("*", f"coalesce(sum(n) OVER (ORDER BY __at {upto}), 0L) AS n_before")
+    # never NULL, so the join adds no filter and both sides reuse one shuffle of the sizes
+    block = F.coalesce(F.shiftright("__at", BLOCK_BITS), F.lit(0)).alias("__block")
+    own = rows.select("*", block)
+    inside = own.selectExpr("*", f"sum(n) OVER (PARTITION BY __block ORDER BY __at {upto}) AS __inside")
+    totals = own.groupBy("__block").agg(F.sum("n").alias("n")).withColumnRenamed("__block", "__at")
+    earlier = _before(totals, levels - 1).selectExpr("__at AS __block", "n_before AS __earlier")
+    n_before = F.coalesce("__inside", F.lit(0)) + F.coalesce("__earlier", F.lit(0))
+    return inside.join(earlier, "__block").select(*rows.columns, n_before.alias("n_before"))
 
 
 def taken_until(items: DataFrame, threshold: int, batch: str = "batch") -> DataFrame:

@@ -23,6 +23,11 @@ def kmeans_fit(
     return [[float(v) for v in c] for c in model.clusterCenters()]
 
 
+def k_effective(centers: Centers) -> int:
+    """Centers that a fit has found, which may be fewer than it was asked for."""
+    return len(centers)
+
+
 def kmeans_init(points: DataFrame, k: int, seed: int = DEFAULT_SEED, point: str = "point") -> list[list[float]]:
     """The k-means|| start without any Lloyd round."""
     return kmeans_fit(points, k, 0, seed, point)

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from pointflow.functions.vectors import table_text
 from pointflow.operators.assign import Centers, as_centers, assign_nearest
+from pointflow.operators.partials import group_text
 
 GROUP_A, GROUP_B = 0, 1
 
 
 def _in(group: int, grp: str = "grp") -> Column:
-    return F.col(grp) == group
+    """Whether a row is of a group; a row of neither is refused, so that all counts add up."""
+    return F.expr(group_text(grp)) == group
 
 
 def worst_of(phi_a: Column, phi_b: Column) -> Column:
@@ -45,24 +47,25 @@ def _cluster_totals(assigned: DataFrame, by: Sequence[str], grp: str) -> DataFra
     )
 
 
-def _one_row_per_model(totals: DataFrame, by: Sequence[str], k: int) -> DataFrame:
-    """At most K cluster rows fold into one row per `by`, with zeros for the clusters that are missing."""
-    cell = F.struct("n_a", "n_b", "ss_a", "ss_b")
-    none = F.struct(
-        F.lit(0).cast("bigint").alias("n_a"),
-        F.lit(0).cast("bigint").alias("n_b"),
-        F.lit(0.0).alias("ss_a"),
-        F.lit(0.0).alias("ss_b"),
-    )
-    found = totals.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct("k", cell))).alias("_cells"),
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(f"_{c}") for c in ("n_a", "n_b", "ss_a", "ss_b")],
-    )
-    filled = F.transform(
+TOTALS = ("n_a", "n_b", "ss_a", "ss_b")
+
+
+def _all_clusters(totals: DataFrame, by: Sequence[str], k: int) -> DataFrame:
+    """`by..., k, n_a_k, n_b_k` for every k below `k`, next to the sums `n_a, n_b, ss_a, ss_b` of the model.
+
+    The found clusters of a model, at most K, fold into one row that also holds
+    a zero for every index; taken apart again, the two add up. Linear in K.
+    """
+    zeros = F.transform(
         F.sequence(F.lit(0), F.lit(k - 1)),
-        lambda i: F.struct(i.alias("k"), F.coalesce(F.col("_cells")[i], none).alias("cell")),
+        lambda i: F.struct(i.alias("k"), F.lit(0).cast("bigint").alias("n_a_k"), F.lit(0).cast("bigint").alias("n_b_k")),
+    )
+    cell = F.struct(F.col("k").cast("int").alias("k"), F.col("n_a").alias("n_a_k"), F.col("n_b").alias("n_b_k"))
+    model = totals.groupBy(*by).agg(
+        F.collect_list(cell).alias("found"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in TOTALS]
     )
-    return found.withColumn("_filled", filled)
+    rows = model.select(*by, *TOTALS, F.inline(F.concat("found", zeros)))
+    return rows.groupBy(*by, *TOTALS, "k").agg(F.sum("n_a_k").alias("n_a_k"), F.sum("n_b_k").alias("n_b_k"))
 
 
 def _mean(total: str, count: str) -> Column:
@@ -82,40 +85,28 @@ def cluster_report(
     """
     rows = as_centers(centers)
     assigned = assign_nearest(points, rows, strategy, cap=cap)
-    model = _one_row_per_model(_cluster_totals(assigned, by, "grp"), by, len(rows))
-    n = F.col("_n_a") + F.col("_n_b")
-    model = model.select(
-        *by,
-        "_filled",
-        n.alias("n"),
-        F.col("_n_a").alias("n_a"),
-        F.col("_n_b").alias("n_b"),
-        F.when(n > 0, (F.col("_ss_a") + F.col("_ss_b")) / n).alias("delta"),
-        _mean("_ss_a", "_n_a").alias("phi_a"),
-        _mean("_ss_b", "_n_b").alias("phi_b"),
-    ).withColumn("phi", worst_of(F.col("phi_a"), F.col("phi_b")))
-    flat = model.select(*[c for c in model.columns if c != "_filled"], F.inline("_filled"))
-    return flat.select(
+    model = _all_clusters(_cluster_totals(assigned, by, "grp"), by, len(rows))
+    n = F.col("n_a") + F.col("n_b")
+    judged = model.select(
         *by,
         "k",
         F.expr(f"{table_text(rows)}[k]").alias("center"),
-        F.col("cell.n_a").alias("n_a_k"),
-        F.col("cell.n_b").alias("n_b_k"),
-        "n",
+        "n_a_k",
+        "n_b_k",
+        n.alias("n"),
         "n_a",
         "n_b",
-        "delta",
-        "phi_a",
-        "phi_b",
-        "phi",
+        F.when(n > 0, (F.col("ss_a") + F.col("ss_b")) / n).alias("delta"),
+        _mean("ss_a", "n_a").alias("phi_a"),
+        _mean("ss_b", "n_b").alias("phi_b"),
     )
+    return judged.withColumn("phi", worst_of(F.col("phi_a"), F.col("phi_b")))
 
 
 def cluster_group_counts(assigned: DataFrame, k: int, by: Sequence[str] = (), grp: str = "grp") -> DataFrame:
     """`(by..., k, n_a, n_b)` for every cluster index below `k`, empty ones included."""
-    model = _one_row_per_model(_cluster_totals(assigned, by, grp), by, k)
-    flat = model.select(*by, F.inline("_filled"))
-    return flat.select(*by, "k", F.col("cell.n_a").alias("n_a"), F.col("cell.n_b").alias("n_b"))
+    model = _all_clusters(_cluster_totals(assigned, by, grp), by, k)
+    return model.select(*by, "k", F.col("n_a_k").alias("n_a"), F.col("n_b_k").alias("n_b"))
 
 
 def compare_centers(points: DataFrame, models: dict[str, Centers], strategy: str = "auto") -> DataFrame:

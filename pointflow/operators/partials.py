@@ -14,13 +14,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.operators.assign import Centers, as_centers, assign_nearest, matrix_of, nearest_in_block, pick_strategy
+from pointflow.operators.assign import (
+    Centers,
+    as_centers,
+    assign_nearest,
+    matrix_of,
+    nearest_in_block,
+    pick_strategy,
+    whole_text,
+)
 
 # widths up to which one sum column per coordinate is used; beyond it the coordinates become rows
 WIDE_DIMS = 100
 GROUPS = 2
 
 
+def group_text(grp: str) -> str:
+    """The group of a row, or an error if it is neither 0 nor 1."""
+    return f"if(`{grp}` IN (0, 1), CAST(`{grp}` AS INT), raise_error('grp must be 0 or 1'))"
+
+
 def point_dims(points: DataFrame, point: str = "point") -> int:
     """Width of the points, read from one row."""
     row = points.select(F.size(point)).first()
@@ -61,7 +74,7 @@ def cluster_group_sums(
     if strategy == "auto":
         strategy = pick_strategy(len(rows), dims)
     keys = [*by, "k", "grp"]
-    points = points.selectExpr(*by, f"`{point}` AS point", f"CAST(`{grp}` AS INT) AS grp")
+    points = points.selectExpr(*by, f"`{point}` AS point", f"{group_text(grp)} AS grp")
     if strategy != "arrow":
         assigned = assign_nearest(points, rows, strategy)
         return _merge_sums(assigned, keys, dims, {"n": "count(1)", "ss": "sum(dist2)"}, "point")
@@ -144,10 +157,22 @@ def cluster_group_means(sums: DataFrame) -> DataFrame:
 
 
 def mean_vector(points: DataFrame, dims: int | None = None, by: Sequence[str] = (), point: str = "point") -> DataFrame:
-    """`(by..., n, mean)`; without `by` an empty input gives one row with n = 0 and a NULL mean."""
+    """`(by..., n, mean)`; without `by` an empty input gives one row with n = 0 and a NULL mean.
+
+    A missing point or coordinate and a point of another width are refused at
+    every width. Wide points are added up by Arrow batch before anything is sent.
+    """
     dims = dims or point_dims(points, point)
     typed = points.select(*by, F.col(point).cast("array<double>").alias("point"))
-    total = _merge_sums(typed, list(by), dims, {"n": "count(1)"}, "point")
+    if dims <= WIDE_DIMS:
+        typed = typed.selectExpr(*by, whole_text("point", dims, "point") + " AS point")
+        total = _merge_sums(typed, list(by), dims, {"n": "count(1)"}, "point")
+    else:
+        # all points belong to the one center at the origin
+        alone = typed.withColumn("grp", F.lit(0))
+        total = cluster_group_sums(alone, [[0.0] * dims], by, "arrow")
+        if not by:
+            total = total.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.first("sum").alias("sum"))
     return total.selectExpr(*by, "n", "if(n > 0, transform(sum, s -> s / n), NULL) AS mean")
 
 

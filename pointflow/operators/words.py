@@ -18,7 +18,7 @@ from pointflow.functions.draws import salt
 from pointflow.functions.text import text_lines, tokenize, word_length
 from pointflow.sources.points import load_parts
 
-SALT_SOURCES = ("doc", "word_doc")
+SALT_SOURCES = ("doc", "word_doc", "pair")
 
 
 def documents_as_lines(documents: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -42,13 +42,19 @@ def word_count_salted(
     """`(word, cnt)` in two rounds: per salt and word, then per word.
 
     The salt is a hash, the same at every attempt: of the document (`doc`, so a
-    document's words travel together) or of document and word (`word_doc`). It
-    bounds how much of a hot word one reducer of the first round receives.
+    document's words travel together) or of document and word (`word_doc`). With
+    `pair` the words of a document are counted first, and each pair of document
+    and word is salted and sent once. The salt bounds how much of a hot word one
+    reducer of the first round receives.
     """
     if salt_from not in SALT_SOURCES:
         raise ValueError(f"salt_from must be one of {SALT_SOURCES}")
     if salts < 1:
         raise ValueError("salts must be positive")
+    if salt_from == "pair":
+        pairs = doc_word_count(lines, keys, value).select(salt(salts, *keys, "word").alias("salt"), "word", "cnt")
+        first = pairs.groupBy("salt", "word").agg(F.sum("cnt").alias("part"))
+        return first.groupBy("word").agg(F.sum("part").alias("cnt"))
     # hashed once per line, so that a token carries one number and not the keys
     line = F.xxhash64(*keys) if salt_from == "word_doc" else salt(salts, *keys)
     tokens = words(lines.select(line.alias("salt"), value), value, ["salt"])

@@ -18,6 +18,9 @@ WIDE_DIMS = 64
 BLOBS = 7
 DAY_SECONDS = 86_400
 THRESHOLD = 2_500
+# rows of a file of the live stream, and the items after which it stops
+FILE_ROWS = 100
+FILE_THRESHOLD = 250
 LINE_KEYS = ["doc_id", "line"]
 
 
@@ -40,15 +43,9 @@ def points64(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def centers64(spark: SparkSession, folder: str) -> list[list[float]]:
-    """The first embedding of every label, in label order.
-
-    The few ids come first, so that the second read skips row groups and no
-    aggregate has to carry embeddings.
-    """
-    rows = table(spark, folder, "embeddings")
-    ids = [r[0] for r in rows.groupBy("label").agg(F.min("vec_id")).select("min(vec_id)").collect()]
-    firsts = rows.where(F.col("vec_id").isin(ids)).withColumn("center", F.col("embedding").cast("array<double>"))
-    return collect_centers(firsts, order="label")
+    """The first embedding of every label, in label order; a task keeps one vector per label."""
+    first = F.min_by("embedding", "vec_id").cast("array<double>").alias("center")
+    return collect_centers(table(spark, folder, "embeddings").groupBy("label").agg(first), order="label")
 
 
 def point_lines(spark: SparkSession, folder: str, *, tax: bool = False) -> DataFrame:

@@ -72,9 +72,11 @@ def repartition_load(spark, folder):
     )
 
 
-def _order_blobs(spark, folder):
-    n = b.table(spark, folder, "orders").count()
-    return blobs.gen_blobs(spark, n, b.BLOBS)
+def _order_blobs(spark, folder, shuffle=False):
+    """A point for every order; order keys count from 0."""
+    orders = b.table(spark, folder, "orders")
+    ids = orders.select(F.col("o_orderkey").alias("id"))
+    return blobs.place_blobs(ids, orders.count(), b.BLOBS, shuffle=shuffle)
 
 
 @query
@@ -82,6 +84,11 @@ def gen_blobs(spark, folder):
     return _order_blobs(spark, folder)
 
 
+@query
+def gen_blobs_shuffled(spark, folder):
+    return _order_blobs(spark, folder, shuffle=True)
+
+
 @query
 def gen_blob_sizes(spark, folder):
     return _order_blobs(spark, folder).groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -94,6 +101,16 @@ def points_csv_roundtrip(spark, folder):
     return points.parse_points(points.read_lines(spark, path), dims=2).select(*xy(), "label", "grp")
 
 
+@query
+def points_csv_odd_labels(spark, folder):
+    """Labels with blanks and quotes, which a text line carries as they are."""
+    flag = F.col("l_returnflag")
+    label = F.when(flag == "A", " A").when(flag == "N", 'q"N ').otherwise(flag).alias("label")
+    path = scratch_folder(spark, "points")
+    points.write_points(b.points2(spark, folder, label), path)
+    return points.parse_points(points.read_lines(spark, path), dims=2).select(*xy(), "label", "grp")
+
+
 @query
 def sample_head(spark, folder):
     return points.sample_head(b.table(spark, folder, "events").select("event_id", "user_id"), 10, "event_id")
@@ -177,6 +194,20 @@ def cluster_report_by_segment(spark, folder):
     return metrics.cluster_report(rows, b.CENTERS, by=["segment"]).select("segment", *_report_columns())
 
 
+def _nullable_points(spark, folder):
+    """Line items without the rows whose discount is missing; every tenth order has none."""
+    rows = b.table(spark, folder, "lineitem")
+    rows = rows.withColumn("l_discount", F.when(F.col("l_orderkey") % 10 != 0, F.col("l_discount")))
+    cells = ["l_quantity", F.col("l_discount") * 100]
+    return points.points_from_columns(rows.where("l_discount IS NOT NULL"), cells, "l_returnflag")
+
+
+@query
+def assign_nearest_nullable(spark, folder):
+    near = assign.assign_nearest(_nullable_points(spark, folder), b.CENTERS)
+    return near.groupBy("k", "grp").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("dist2"), 4).alias("ss"))
+
+
 # --- sums, means, scatter
 
 
@@ -288,6 +319,50 @@ def fair_lloyd_auto(spark, folder):
     return center_rows(spark, fair.fair_lloyd(b.points2(spark, folder), k=4, rounds=b.FAIR_ROUNDS))
 
 
+def _far_points(spark, folder):
+    """Line items at seven far places, one per line number, group A being return flag A.
+
+    With as many centers as places every good start finds all of them.
+    """
+    rows = b.table(spark, folder, "lineitem")
+    number = F.col("l_linenumber").cast("double")
+    return points.points_from_columns(rows, [number * 1000, number * number * 100], "l_returnflag")
+
+
+def _sorted_centers(spark, centers):
+    rows = sorted(map(tuple, centers))
+    return center_rows(spark, [list(r) for r in rows])
+
+
+@query
+def kmeans_fit_far(spark, folder):
+    return _sorted_centers(spark, kmeans.kmeans_fit(_far_points(spark, folder), 7, 20))
+
+
+@query
+def kmeans_init_far(spark, folder):
+    return _sorted_centers(spark, kmeans.kmeans_init(_far_points(spark, folder), 7))
+
+
+@query
+def fair_lloyd_auto_far(spark, folder):
+    return _sorted_centers(spark, fair.fair_lloyd(_far_points(spark, folder), k=7, rounds=b.FAIR_ROUNDS))
+
+
+@query
+def kmeans_fit_facts(spark, folder):
+    """What holds for any start: centers found, points in all clusters, and the objective."""
+    rows = _far_points(spark, folder)
+    centers = kmeans.kmeans_fit(rows, 12, 20)
+    report = metrics.cluster_report(rows, centers)
+    return report.groupBy().agg(
+        F.lit(12).alias("k"),
+        F.lit(kmeans.k_effective(centers)).alias("k_effective"),
+        F.sum(F.col("n_a_k") + F.col("n_b_k")).alias("n"),
+        F.round(F.max("delta"), DIGITS).alias("delta"),
+    )
+
+
 @query
 def fair_report(spark, folder):
     rows = b.points2(spark, folder)
@@ -349,7 +424,7 @@ def word_count(spark, folder):
 
 @query
 def word_count_salted(spark, folder):
-    return words.word_count_salted(b.doc_lines(spark, folder), b.LINE_KEYS, salts=8)
+    return words.word_count_salted(b.doc_lines(spark, folder), b.LINE_KEYS, salts=8, salt_from="pair")
 
 
 @query
@@ -359,7 +434,7 @@ def word_count_salted_groupby(spark, folder):
 
 @query
 def word_count_by_partition(spark, folder):
-    return words.word_count_by_partition(b.doc_lines(spark, folder))
+    return words.word_count_by_partition(b.doc_lines(spark, folder), parts=8)
 
 
 @query
@@ -450,3 +525,15 @@ def stream_distinct(spark, folder):
 @query
 def stream_batches(spark, folder):
     return distinct.run_batches(_event_stream(spark, folder), scratch_folder(spark, "batches")).summary()
+
+
+@query
+def stream_threshold_live(spark, folder):
+    """A live stream of equal files, stopped by its threshold: the crossing batch counts whole."""
+    path = scratch_folder(spark, "events")
+    rows = b.table(spark, folder, "events").select("user_id").coalesce(1)
+    rows.write.option("maxRecordsPerFile", b.FILE_ROWS).parquet(f"{path}/events.parquet")
+    stream = items.stream_table(spark, path, "events", files_per_batch=1)
+    parsed = items.parse_items(stream.select(F.col("user_id").cast("string").alias("value")))
+    tables = distinct.run_batches(parsed, scratch_folder(spark, "batches"), b.FILE_THRESHOLD)
+    return tables.summary().select("processed", tables.sizes().agg(F.count("*")).scalar().alias("n_batches"))

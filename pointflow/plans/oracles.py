@@ -259,6 +259,11 @@ FROM draws"""
 
 _XY = "round(x, 6) AS x, round(y, 6) AS y"
 
+# the seven places of the far points, in order
+FAR_CENTERS = """SELECT CAST(row_number() OVER (ORDER BY l_linenumber) - 1 AS INTEGER) AS k,
+       l_linenumber * 1000.0::DOUBLE AS x, l_linenumber * l_linenumber * 100.0::DOUBLE AS y
+FROM (SELECT DISTINCT l_linenumber FROM lineitem)"""
+
 ORACLES: dict[str, str] = {
     "scan_lines": f'SELECT {LINES} AS "value" FROM lineitem',
     "parse_points": """SELECT l_quantity AS x, l_discount AS y, l_tax AS z, l_returnflag AS label,
@@ -370,4 +375,20 @@ WHERE regexp_full_match(v, '[+-]?[0-9]+')""",
     + f"{SUMMARY} FROM items WHERE batch IN (SELECT batch FROM running WHERE n_before < {b.THRESHOLD})",
     "stream_distinct": "SELECT DISTINCT user_id AS item FROM events",
     "stream_batches": _with(DAYS) + f"{SUMMARY} FROM items",
+    "gen_blobs_shuffled": GEN_BLOBS,
+    "points_csv_odd_labels": """SELECT round(l_quantity, 3) AS x, round(l_discount * 100, 3) AS y,
+       CASE l_returnflag WHEN 'A' THEN ' A' WHEN 'N' THEN 'q"N ' ELSE l_returnflag END AS label, 1 AS grp FROM lineitem""",
+    "assign_nearest_nullable": f"""WITH p AS (SELECT l_quantity AS x, l_discount * 100 AS y,
+       CASE WHEN l_returnflag = 'A' THEN 0 ELSE 1 END AS grp FROM lineitem WHERE l_orderkey % 10 <> 0 AND l_discount IS NOT NULL),
+d AS (SELECT grp, [{", ".join(f"(x - {x}) * (x - {x}) + (y - {y}) * (y - {y})" for x, y in b.CENTERS)}] AS d FROM p)
+SELECT CAST(list_position(d, list_min(d)) - 1 AS INTEGER) AS k, grp, count(*) AS n, round(sum(list_min(d)), 4) AS ss
+FROM d GROUP BY 1, 2""",
+    "kmeans_fit_far": FAR_CENTERS,
+    "kmeans_init_far": FAR_CENTERS,
+    "fair_lloyd_auto_far": FAR_CENTERS,
+    "kmeans_fit_facts": """SELECT 12 AS k, CAST(count(DISTINCT l_linenumber) AS INTEGER) AS k_effective, count(*) AS n, 0.0::DOUBLE AS delta
+FROM lineitem""",
+    "stream_threshold_live": f"""SELECT least(n, ceil({b.FILE_THRESHOLD} / {b.FILE_ROWS}::DOUBLE) * {b.FILE_ROWS})::BIGINT AS processed,
+       least(ceil(n / {b.FILE_ROWS}::DOUBLE), ceil({b.FILE_THRESHOLD} / {b.FILE_ROWS}::DOUBLE))::BIGINT AS n_batches
+FROM (SELECT count(*) AS n FROM events)""",
 }

@@ -22,26 +22,36 @@ def _input(spark: SparkSession, path: str, parts: int | None) -> DataFrame:
     return points.load_parts(lines, parts) if parts else lines
 
 
-def _points(lines: DataFrame, dims: int | None) -> DataFrame:
-    return points.parse_points(lines, dims).select("point", "grp").persist(StorageLevel.MEMORY_AND_DISK)
+def _width(lines: DataFrame, dims: int | None) -> int:
+    """The stated width, or that of the first point; lines of another width are bad."""
+    width = dims or points.first_width(lines)
+    if not width:
+        raise ValueError("the input has no point")
+    return width
 
 
 def clusters(
     spark: SparkSession, path: str, k: int, rounds: int, parts: int | None = None, dims: int | None = None, seed: int = 42
 ) -> dict[str, DataFrame]:
-    """Fit k-means and judge it: `counts` of the groups, and a `report` with a row per center.
+    """Fit k-means and judge it: the `fit`, `counts` of the groups, and a `report` with a row per center.
 
-    The points are kept while the centers are fitted; the frames that come back
-    read the file again, so nothing stays cached.
+    `fit` has the k that was asked for and `k_effective`, which is smaller where
+    the points are not distinct enough. The points are spread and kept while the
+    centers are fitted; the frames that come back read the file again as it is,
+    so nothing stays cached and no text is shuffled for them.
     """
-    lines = _input(spark, path, parts)
-    kept = _points(lines, dims)
+    lines = points.read_lines(spark, path)
+    width = _width(lines, dims)
+    kept = points.parse_points(_input(spark, path, parts), width).select("point", "grp").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         centers = kmeans.kmeans_fit(kept, k, rounds, seed)
     finally:
         kept.unpersist()
-    parsed = points.parse_points(lines, dims)
-    return {"counts": points.group_counts(lines), "report": metrics.cluster_report(parsed, centers)}
+    return {
+        "fit": spark.createDataFrame([(k, kmeans.k_effective(centers))], "k int, k_effective int"),
+        "counts": points.group_counts(lines),
+        "report": metrics.cluster_report(points.parse_points(lines, width), centers),
+    }
 
 
 def fairness(
@@ -55,8 +65,9 @@ def fairness(
     selection: str = "cluster_means",
 ) -> dict[str, DataFrame]:
     """Standard against fair centers: `counts` of the groups, `centers` of both, and a `report` with a row for each."""
-    lines = _input(spark, path, parts)
-    kept = _points(lines, dims)
+    lines = points.read_lines(spark, path)
+    width = _width(lines, dims)
+    kept = points.parse_points(_input(spark, path, parts), width).select("point", "grp").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         models = {
             "standard": kmeans.kmeans_fit(kept, k, rounds, seed),
@@ -68,7 +79,7 @@ def fairness(
     return {
         "counts": points.group_counts(lines),
         "centers": spark.createDataFrame(rows, "model string, k int, center array<double>"),
-        "report": metrics.compare_centers(points.parse_points(lines, dims), models),
+        "report": metrics.compare_centers(points.parse_points(lines, width), models),
     }
 
 
@@ -79,12 +90,20 @@ def word_report(spark: SparkSession, path: str, parts: int | None = None) -> dic
 
 
 def distinct_report(
-    spark: SparkSession, path: str, threshold: int, interval: str | None = None, files_per_batch: int | None = 1
+    spark: SparkSession,
+    path: str,
+    threshold: int,
+    interval: str | None = None,
+    files_per_batch: int | None = 1,
+    folder: str | None = None,
 ) -> dict[str, DataFrame]:
-    """The `sizes` of the batches of a folder of number files up to a threshold, and their `summary`."""
+    """The `sizes` of the batches of a folder of number files up to a threshold, with their times, and their `summary`.
+
+    With `folder` the tables are kept there, and a program that is started again goes on from them.
+    """
     stream = items.parse_items(items.stream_lines(spark, path, files_per_batch))
-    tables = distinct.run_batches(stream, scratch_folder(spark, "distinct"), threshold, interval=interval)
-    return {"sizes": tables.sizes(), "summary": tables.summary()}
+    tables = distinct.run_batches(stream, folder or scratch_folder(spark, "distinct"), threshold, interval=interval)
+    return {"sizes": tables.log(), "summary": tables.summary()}
 
 
 def generate(spark: SparkSession, path: str, n: int, k: int, seed: int = blobs.DEFAULT_SEED, shuffle: bool = True) -> None:

@@ -55,3 +55,9 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder in whatever store it lies."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

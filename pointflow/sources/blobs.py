@@ -46,7 +46,11 @@ def gen_blobs(
     spark: SparkSession, n: int, k: int, seed: int = DEFAULT_SEED, shuffle: bool = False, parts: int | None = None
 ) -> DataFrame:
     """`id, cluster, label, x, y`; `shuffle` sorts the rows by a draw, which only matters for files."""
-    ids = spark.range(0, n, 1, parts) if parts else spark.range(n)
+    return place_blobs(spark.range(0, n, 1, parts) if parts else spark.range(n), n, k, seed, shuffle)
+
+
+def place_blobs(ids: DataFrame, n: int, k: int, seed: int = DEFAULT_SEED, shuffle: bool = False) -> DataFrame:
+    """`gen_blobs` for rows that are there: each `id` from 0 to n - 1 becomes a point."""
     rows = blob_layout(ids, n, k)
     center = F.col("_center")
     normal = F.col("_normal")

@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 from pointflow.sources.points import _check_on_bad, _settle
 
 # an optional sign and digits only: no blanks, no fraction
-ITEM_PATTERN = r"^[+-]?[0-9]+$"
+ITEM_PATTERN = r"\A[+-]?[0-9]+\z"
 
 
 def parse_items(lines: DataFrame, on_bad: str = "fail", value: str = "value") -> DataFrame:
     """Adds `item bigint`; a line that is not a plain integer of 64 bits is bad."""
     _check_on_bad(on_bad)
     text = F.col(value)
-    df = lines.withColumn("_item", F.when(text.rlike(ITEM_PATTERN), text.try_cast("bigint")))
-    bad = F.col("_item").isNull()
-    return _settle(df, bad, F.coalesce(text, F.lit("NULL")), on_bad, {"item": F.col("_item")}).drop(value)
+    item = F.when(text.rlike(ITEM_PATTERN), text.try_cast("bigint"))
+    return _settle(lines, item.isNull(), F.coalesce(text, F.lit("NULL")), on_bad, {"item": item}).drop(value)
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 GROUP_A_LABEL = "A"
 GROUP_B_LABEL = "B"
 ON_BAD = ("fail", "drop")
+FIRST = "first"
+# widths up to which each coordinate is an expression of its own
+UNROLLED_DIMS = 64
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -50,14 +53,28 @@ def _check_on_bad(on_bad: str) -> None:
         raise ValueError(f"on_bad must be one of {ON_BAD}")
 
 
+# working columns, by names that no table has
+FIELDS, POINT, ROW = "__pointflow_fields", "__pointflow_point", "__pointflow_row"
+
+
 def _settle(df: DataFrame, bad: Column, value: Column, on_bad: str, outputs: dict[str, Column]) -> DataFrame:
-    """Drop the bad rows, or raise on the first one that a task meets."""
-    carried = [c for c in df.columns if not c.startswith("_")]
+    """Drop the bad rows, or raise on the first one that a task meets. All other columns stay."""
+    carried = [f"`{c}`" for c in df.columns if c not in (FIELDS, POINT, *outputs)]
     if on_bad == "drop":
         return df.where(~bad).select(*carried, *[c.alias(n) for n, c in outputs.items()])
     row = F.struct(*[c.alias(n) for n, c in outputs.items()])
     checked = F.when(bad, F.raise_error(F.concat(F.lit("bad line: "), value))).otherwise(row)
-    return df.withColumn("_row", checked).select(*carried, *[f"_row.{n}" for n in outputs])
+    return df.withColumn(ROW, checked).select(*carried, *[f"{ROW}.{n}" for n in outputs])
+
+
+def _fields(value: Column) -> Column:
+    return F.split(F.rtrim(value, F.lit(",")), ",")
+
+
+def first_width(lines: DataFrame, value: str = "value") -> int | None:
+    """Coordinates of the first line that has any; None if no line has."""
+    row = lines.select((F.size(_fields(F.col(value))) - 1).alias("n")).where("n > 0").first()
+    return row["n"] if row else None
 
 
 def _infinite(v: Column) -> Column:
@@ -66,33 +83,36 @@ def _infinite(v: Column) -> Column:
 
 
 def parse_points(
-    lines: DataFrame, dims: int | None = None, on_bad: str = "fail", value: str = "value"
+    lines: DataFrame, dims: int | str | None = None, on_bad: str = "fail", value: str = "value"
 ) -> DataFrame:
     """`x1,...,xn,label` lines to points; the last field is the label.
 
     Trailing commas do not count as fields. A line is bad if it has no
     coordinate, a coordinate that is not a finite number, or (with `dims`)
-    another number of coordinates.
+    another number of coordinates. `dims="first"` takes the width of the first
+    line that has coordinates, which reads the head of the input once.
     """
     _check_on_bad(on_bad)
+    if dims == FIRST:
+        if lines.isStreaming:
+            raise ValueError("a stream has no first line: state dims")
+        dims = first_width(lines, value) or 1
     text = F.col(value)
-    fields = F.col("_fields")
-    df = lines.withColumn("_fields", F.split(F.rtrim(text, F.lit(",")), ","))
-    if dims is None:
-        df = df.withColumn(
-            "_point",
-            F.transform(F.slice(fields, 1, F.greatest(F.size(fields) - 1, F.lit(0))), lambda s: s.try_cast("double")),
-        )
-        bad = (F.size("_point") < 1) | F.exists("_point", _infinite)
+    fields = F.col(FIELDS)
+    df = lines.withColumn(FIELDS, _fields(text))
+    if dims is None or dims > UNROLLED_DIMS:
+        heads = F.slice(fields, 1, F.greatest(F.size(fields) - 1, F.lit(0)))
+        df = df.withColumn(POINT, F.transform(heads, lambda s: s.try_cast("double")))
+        bad = (F.size(POINT) < 1 if dims is None else F.size(fields) != dims + 1) | F.exists(POINT, _infinite)
     else:
-        # a known width needs no lambda, so the whole parse stays in generated code
+        # a small known width needs no lambda, so the whole parse stays in generated code
         cells = [F.get(fields, F.lit(j)).try_cast("double") for j in range(dims)]
-        df = df.withColumn("_point", F.array(*cells))
+        df = df.withColumn(POINT, F.array(*cells))
         bad = F.size(fields) != dims + 1
         for j in range(dims):
-            bad = bad | _infinite(F.get("_point", F.lit(j)))
+            bad = bad | _infinite(F.get(POINT, F.lit(j)))
     label = F.element_at(fields, -1)
-    outputs = {"point": F.col("_point"), "label": label, "grp": encode_group(label)}
+    outputs = {"point": F.col(POINT), "label": label, "grp": encode_group(label)}
     return _settle(df, F.coalesce(bad, F.lit(True)), text, on_bad, outputs).drop(value)
 
 
@@ -100,12 +120,12 @@ def parse_points_2d(lines: DataFrame, on_bad: str = "fail", value: str = "value"
     """The first two fields as the point and the third, if any, as the label; further fields are ignored."""
     _check_on_bad(on_bad)
     text = F.col(value)
-    fields = F.col("_fields")
-    df = lines.withColumn("_fields", F.split(F.rtrim(text, F.lit(",")), ","))
-    df = df.withColumn("_point", F.array(*[F.get(fields, F.lit(j)).try_cast("double") for j in range(2)]))
-    bad = _infinite(F.get("_point", F.lit(0))) | _infinite(F.get("_point", F.lit(1)))
+    fields = F.col(FIELDS)
+    df = lines.withColumn(FIELDS, _fields(text))
+    df = df.withColumn(POINT, F.array(*[F.get(fields, F.lit(j)).try_cast("double") for j in range(2)]))
+    bad = _infinite(F.get(POINT, F.lit(0))) | _infinite(F.get(POINT, F.lit(1)))
     label = F.get(fields, F.lit(2))
-    outputs = {"point": F.col("_point"), "label": label, "grp": encode_group(label)}
+    outputs = {"point": F.col(POINT), "label": label, "grp": encode_group(label)}
     return _settle(df, bad, text, on_bad, outputs).drop(value)
 
 
@@ -148,15 +168,28 @@ def sample_head(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def write_points(points: DataFrame, path: str, label: str | Column = "label", digits: int = 3) -> None:
+def write_points(
+    points: DataFrame, path: str, label: str | Column = "label", digits: int = 3, dims: int | None = None
+) -> None:
     """`%.3f`-style text lines with the label last, one part file per task.
 
-    Through a decimal, so the text has a point in every locale and the rounding is half up.
+    Through a decimal, so the text has a point in every locale and the rounding
+    is half up. Nothing is cut or quoted: a point of another width than `dims`
+    (that of the first row if not given), a missing coordinate, and a label that
+    the line format cannot carry (empty, NULL, with a comma or a line end) are refused.
     """
-    dims = points.select(F.size("point")).first()
-    cells = [
-        F.col("point")[j].cast(f"decimal(38,{digits})").cast("string").alias(f"x{j}")
-        for j in range(dims[0] if dims else 0)
-    ]
+    if dims is None:
+        row = points.select(F.size("point").alias("n")).first()
+        dims = row["n"] if row else 0
+    text = F.transform("point", lambda v: v.cast(f"decimal(38,{digits})").cast("string"))
+    whole = (F.size("point") == dims) & ~F.exists("point", lambda v: v.cast(f"decimal(38,{digits})").isNull())
     last = F.col(label) if isinstance(label, str) else label
-    points.select(*cells, last.alias("label")).write.mode("error").option("emptyValue", "").csv(path)
+    plain = last.rlike(r"\A[^,\r\n]+\z")
+    line = F.concat(F.array_join(text, ","), F.lit(","), last)
+    refuse = lambda why: F.raise_error(F.lit(why)).cast("string")
+    checked = (
+        F.when(~F.coalesce(whole, F.lit(False)), refuse(f"a point does not have {dims} finite coordinates"))
+        .when(~F.coalesce(plain, F.lit(False)), refuse("a label is empty or has a comma or a line end"))
+        .otherwise(line)
+    )
+    points.select(checked.alias("value")).write.mode("error").text(path)

@@ -17,10 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from pointflow.operators.batches import summary_of_counts
+from pointflow.session import drop_folder, folder_exists
 
 STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 BATCH_INTERVAL = "100 milliseconds"
+# closed batches that share a folder in the end
+MERGE_EVERY = 500
+SIZES = "n bigint, seen bigint, at timestamp"
 
 
 @contextmanager
@@ -40,23 +44,28 @@ def _disk_state(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(STATE_STORE_KEY)
 
 
-def first_of_each(stream: DataFrame, item: str = "item") -> DataFrame:
-    """Drop the repeats inside each Arrow batch; other columns keep their smallest value.
+def ends_of_each(stream: DataFrame, item: str = "item", event_time: str | None = None) -> DataFrame:
+    """Drop the repeats inside each Arrow batch: one row per item, or its first and its last by event time.
 
     `dropDuplicates` on a stream has no map-side part; with this before it, a
-    hot item reaches its state task a few times per input split, not once per row.
+    hot item reaches its state task a few times per input split, not once per
+    row. The last row moves the watermark as all rows would, and is on time if
+    any is, so no item is lost with a late first row.
     """
 
-    others = [c for c in stream.columns if c != item]
-
     def once(batches):
         for batch in batches:
             found = pa.Table.from_batches([batch]).group_by([item], use_threads=False)
-            found = found.aggregate([(c, "min") for c in others])
-            columns = [found[item if c == item else f"{c}_min"] for c in batch.schema.names]
-            yield from pa.table(columns, schema=batch.schema).to_batches()
+            if event_time is None:
+                yield from found.aggregate([]).select([item]).cast(batch.schema).to_batches()
+                continue
+            found = found.aggregate([(event_time, "min"), (event_time, "max")])
+            for end in ("min", "max"):
+                columns = [found[item if c == item else f"{event_time}_{end}"] for c in batch.schema.names]
+                yield from pa.table(columns, schema=batch.schema).to_batches()
 
-    return stream.mapInArrow(once, stream.schema)
+    slim = stream.select(item) if event_time is None else stream.select(item, event_time)
+    return slim.mapInArrow(once, slim.schema)
 
 
 def stream_distinct(
@@ -68,10 +77,10 @@ def stream_distinct(
     comes later than that after the item's first `event_time` may be emitted again.
     """
     if within is None:
-        return first_of_each(stream.select(item), item).dropDuplicates([item])
+        return ends_of_each(stream, item).dropDuplicates([item])
     if event_time is None:
         raise ValueError("within needs event_time")
-    slim = first_of_each(stream.select(item, event_time), item)
+    slim = ends_of_each(stream, item, event_time)
     return slim.withWatermark(event_time, within).dropDuplicatesWithinWatermark([item])
 
 
@@ -100,21 +109,65 @@ class BatchTables:
     """What the batches of one query left behind, one folder per batch number.
 
     `items` has the distinct items of a batch with their counts; `sizes` has one
-    row per batch with its size and the running total. A batch that is processed
-    again overwrites its own folders, so at-least-once delivery changes nothing.
+    row per batch with its size, the running total and the time of writing. A
+    batch that is processed again overwrites its own folders, so at-least-once
+    delivery changes nothing.
+
+    Every MERGE_EVERY batches the closed ones before are merged into one folder
+    of a block, and their own folders dropped. A block counts once its sizes are
+    there, and from then on whatever is left of its batches does not.
     """
 
     def __init__(self, spark: SparkSession, folder: str, item: str = "item"):
         self.spark, self.folder, self.item = spark, folder.rstrip("/"), item
+        self._items = f"`{item}` bigint, cnt bigint"
 
     def _part(self, table: str, number: int) -> str:
         return f"{self.folder}/{table}/batch_id={number}"
 
+    def _block(self, table: str, block: int) -> str:
+        return f"{self.folder}/{table}_blocks/block={block}"
+
+    def _read(self, table: str, schema: str) -> DataFrame:
+        """All rows of a table: those of merged blocks, and of the batches that are in none of them."""
+        whole = f"{schema}, batch_id bigint"
+        empty = self.spark.createDataFrame([], whole)
+        batches = self.spark.read.schema(whole).parquet(f"{self.folder}/{table}") if self._there(table) else empty
+        if not self._there("sizes_blocks"):
+            return batches
+        done = self.spark.read.schema("seen bigint, block bigint").parquet(f"{self.folder}/sizes_blocks")
+        done = done.select("block").distinct()
+        left = batches.withColumn("block", F.floor(F.col("batch_id") / MERGE_EVERY)).join(done, "block", "left_anti")
+        merged = self.spark.read.schema(f"{whole}, block bigint").parquet(f"{self.folder}/{table}_blocks")
+        return left.drop("block").unionByName(merged.join(done, "block", "left_semi").drop("block"))
+
+    def _there(self, table: str) -> bool:
+        return folder_exists(self.spark, f"{self.folder}/{table}")
+
+    def _merge(self, block: int) -> None:
+        """Put the batches of a block into one folder; the sizes come last and make it count."""
+        numbers = range(block * MERGE_EVERY, (block + 1) * MERGE_EVERY)
+        if folder_exists(self.spark, f"{self._block('sizes', block)}/_SUCCESS"):
+            return
+        inside = F.floor(F.col("batch_id") / MERGE_EVERY) == block
+        items = self._read("items", self._items).where(inside)
+        items = items.groupBy(self.item).agg(F.sum("cnt").alias("cnt")).withColumn("batch_id", F.lit(numbers[0]).cast("bigint"))
+        items.write.mode("overwrite").parquet(self._block("items", block))
+        sizes = self._read("sizes", SIZES).where(inside)
+        sizes.coalesce(1).write.mode("overwrite").parquet(self._block("sizes", block))
+        for number in numbers:
+            for table in ("items", "sizes"):
+                drop_folder(self.spark, self._part(table, number))
+
     def seen_before(self, number: int) -> int:
         """Items counted up to the batch before, from that batch's committed row alone."""
         if number == 0:
             return 0
-        return self.spark.read.parquet(self._part("sizes", number - 1)).first()["seen"]
+        path = self._part("sizes", number - 1)
+        if not folder_exists(self.spark, path):
+            path = self._block("sizes", (number - 1) // MERGE_EVERY)
+            return self.spark.read.parquet(path).where(F.col("batch_id") == number - 1).first()["seen"]
+        return self.spark.read.parquet(path).first()["seen"]
 
     def write(self, batch: DataFrame, number: int, threshold: int | None = None) -> int:
         """Store one batch, or an empty mark if the threshold was reached before it; returns the running total."""
@@ -126,19 +179,31 @@ class BatchTables:
             counts = batch.groupBy(self.item).agg(F.count(F.lit(1)).alias("cnt"))
             counts.write.mode("overwrite").parquet(path)
             n = self.spark.read.schema(counts.schema).parquet(path).agg(F.sum("cnt")).first()[0] or 0
-        mark = self.spark.range(1).select(F.lit(n).cast("bigint").alias("n"), F.lit(before + n).cast("bigint").alias("seen"))
+        else:
+            # what an earlier attempt with a higher threshold wrote
+            drop_folder(self.spark, self._part("items", number))
+        mark = self.spark.range(1).select(
+            F.lit(n).cast("bigint").alias("n"),
+            F.lit(before + n).cast("bigint").alias("seen"),
+            F.current_timestamp().alias("at"),
+        )
         # the mark comes last: a batch counts as done once its row is there
         mark.coalesce(1).write.mode("overwrite").parquet(self._part("sizes", number))
+        if number % MERGE_EVERY == 0 and number:
+            self._merge(number // MERGE_EVERY - 1)
         return before + n
 
     def sizes(self) -> DataFrame:
         """`(batch_id, n)` of the batches that had items."""
-        table = self.spark.read.schema("n bigint, seen bigint, batch_id bigint").parquet(f"{self.folder}/sizes")
-        return table.where("n > 0").select("batch_id", "n")
+        return self.log().select("batch_id", "n")
+
+    def log(self) -> DataFrame:
+        """`(batch_id, at, n)`: also the time at which a batch was written."""
+        return self._read("sizes", SIZES).where("n > 0").select("batch_id", "at", "n")
 
     def counts(self) -> DataFrame:
         """`(item, cnt)` over all batches."""
-        table = self.spark.read.schema(f"`{self.item}` bigint, cnt bigint, batch_id bigint").parquet(f"{self.folder}/items")
+        table = self._read("items", self._items)
         return table.groupBy(self.item).agg(F.sum("cnt").alias("cnt"))
 
     def summary(self) -> DataFrame:
