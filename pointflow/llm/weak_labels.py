@@ -5,8 +5,9 @@ each pattern of votes occurs is counted (at most 3^9 patterns, over all
 documents). On these counts expectation-maximisation estimates how often each
 labeller votes bad on bad and on good texts, which gives every pattern a
 posterior probability of being good. The posteriors of a sample, at most
-SAMPLE_DOCS per side, then train a logistic scorer over hashed byte trigrams,
-which judges every whole text.
+SAMPLE_DOCS per side, then train a logistic scorer over hashed byte trigrams and
+the votes themselves, which judges every whole text. Trigrams show what a text
+is made of, votes what no trigram shows, such as words that repeat.
 
 Defined results: a NULL text counts as empty; a text without words has score 0
 and is rejected. If one of the two sides has no documents, nothing can be
@@ -33,6 +34,8 @@ SAMPLE_DOCS = 4096
 TRIGRAM_BITS = 13
 # trigrams of no weight that every text is taken to have, so that a few words decide little
 PRIOR_TRIGRAMS = 100
+# what a vote counts as, where all trigrams of a text together count as 1
+VOTE_SHARE = 0.1
 EM_ROUNDS = 100
 TRAIN_ROUNDS = 150
 KEEP_FROM = 0.5
@@ -63,6 +66,7 @@ LABELLERS = {
     "long words": ("word_bytes", 25.0, 14.0),
 }
 PATTERNS = 3 ** len(LABELLERS)
+WEIGHTS = (1 << TRIGRAM_BITS) + 2 * len(LABELLERS)
 
 
 def joined_bytes(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -106,7 +110,7 @@ def measures(texts: list[str | None]) -> dict[str, np.ndarray]:
     visible = np.maximum(np.fromiter(map(len, data), dtype=np.int64, count=len(data)) - count["space"], 1)
     return {
         "words": words,
-        "upper_share": count["upper"] / np.maximum(count["upper"] + count["lower"], 20),
+        "upper_share": count["upper"] / np.maximum(count["upper"] + count["lower"], 80),
         "symbol_share": count["symbol"] / visible,
         "bang_share": count["bang"] / np.maximum(words, 1),
         "symbol_words": np.array([_symbol_words(x) for x in data]) / np.maximum(words, 1),
@@ -179,30 +183,40 @@ def _inside(offsets: np.ndarray, n: int) -> np.ndarray:
     return within[:n]
 
 
-def score_texts(texts: list[str | None], weights: np.ndarray, bias: float) -> np.ndarray:
-    """Probability of good: a logistic function of the weights of a text's trigrams over their number."""
+def vote_marks(patterns: np.ndarray) -> np.ndarray:
+    """(texts, 2 x labellers) marks of the votes that were cast: bad ones first, then good ones."""
+    votes = votes_of(patterns)
+    return np.concatenate([votes == BAD, votes == GOOD], axis=1)
+
+
+def score_texts(texts: list[str | None], patterns: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
+    """Probability of good: a logistic function of the weights of trigrams, over their number, and of votes."""
+    trigrams, cast = weights[: 1 << TRIGRAM_BITS], weights[1 << TRIGRAM_BITS :]
     _, codes, offsets = joined_bytes(texts)
     value = np.zeros(len(codes))
     if len(codes) > 2:
         inside = _inside(offsets, len(codes) - 2)
-        value[:-2] = np.where(inside, weights[trigram_slots(codes)], 0.0)
+        value[:-2] = np.where(inside, trigrams[trigram_slots(codes)], 0.0)
     number = np.maximum(np.diff(offsets) - 2, 0) + PRIOR_TRIGRAMS
-    return 1 / (1 + np.exp(-np.clip(_per_text(value, offsets) / number + bias, -50, 50)))
+    total = _per_text(value, offsets) / number + VOTE_SHARE * (vote_marks(patterns) @ cast) + bias
+    return 1 / (1 + np.exp(-np.clip(total, -50, 50)))
 
 
-def _trigram_shares(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """The slots of a text's trigrams and the share of each."""
+def _features(text: str | None, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slots of a text's trigrams and votes, and the share of each."""
     codes = np.frombuffer((text or "").encode("utf-8", "replace"), dtype=np.uint8)
     slots, counts = np.unique(trigram_slots(codes) if len(codes) > 2 else np.zeros(0, np.uint32), return_counts=True)
-    return slots.astype(np.int32), counts / (max(0, len(codes) - 2) + PRIOR_TRIGRAMS)
+    cast = np.flatnonzero(marks) + (1 << TRIGRAM_BITS)
+    shares = counts / (max(0, len(codes) - 2) + PRIOR_TRIGRAMS)
+    return np.append(slots, cast).astype(np.int32), np.append(shares, np.full(len(cast), VOTE_SHARE))
 
 
 def train_scorer(row: np.ndarray, slot: np.ndarray, value: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression on soft labels, by Adam steps over all rows.
 
-    Row `row[i]` has the share `value[i]` of trigrams in `slot[i]`.
+    Row `row[i]` has the share `value[i]` in `slot[i]`.
     """
-    width, rows = 1 << TRIGRAM_BITS, len(target)
+    width, rows = WEIGHTS, len(target)
     theta, first, second = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, TRAIN_ROUNDS + 1):
         logit = np.bincount(row, value * theta[slot], minlength=rows) + theta[-1]
@@ -240,7 +254,7 @@ class QualityModel:
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in text_slices(batches):
                 pattern, words = vote_patterns(texts)
-                score = np.where(words > 0, score_texts(texts, weights, bias), 0.0)
+                score = np.where(words > 0, score_texts(texts, pattern, weights, bias), 0.0)
                 yield pa.StructArray.from_arrays(
                     [pa.array(score), pa.array(table[pattern]), pa.array(score >= KEEP_FROM)],
                     names=["score", "posterior", "kept"],
@@ -272,7 +286,7 @@ def fit_quality(docs: DataFrame, ident: str = "doc_id", text: str = "text", samp
     by_pattern = dict(zip(patterns.tolist(), posterior.tolist()))
     sides = {side: int(counts[(posterior >= 0.5) == side].sum()) for side in (False, True)}
     if not all(sides.values()):
-        return QualityModel(by_pattern, on_bad, on_good, np.zeros(1 << TRIGRAM_BITS), 50.0)
+        return QualityModel(by_pattern, on_bad, on_good, np.zeros(WEIGHTS), 50.0)
 
     # a hash of the id draws somewhat more than the sample, whose exact size a top-k by that hash sets
     unit = F.pmod("draw", F.lit(1 << 40)) / (1 << 40)
@@ -283,17 +297,21 @@ def fit_quality(docs: DataFrame, ident: str = "doc_id", text: str = "text", samp
     @F.arrow_udf("struct<slots: array<int>, shares: array<double>>")
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in text_slices(batches):
-            pairs = [_trigram_shares(t) for t in texts]
+            marks = vote_marks(vote_patterns(texts)[0])
+            pairs = [_features(t, m) for t, m in zip(texts, marks)]
             slots = pa.array([p[0] for p in pairs], pa.list_(pa.int32()))
             shares = pa.array([p[1] for p in pairs], pa.list_(pa.float64()))
             yield pa.StructArray.from_arrays([slots, shares], names=["slots", "shares"])
 
+    # features are bounded, texts are not: so features come first, and the top-k holds no text
     picked = [
-        drawn.where(side_rows & (unit < part[side])).orderBy("draw").limit(sample).select("pattern", "text")
+        drawn.where(side_rows & (unit < part[side]))
+        .select("draw", "pattern", features("text").alias("f"))
+        .orderBy("draw", "pattern", "f.slots")
+        .limit(sample)
         for side, side_rows in ((True, good), (False, ~good))
     ]
-    rows = picked[0].union(picked[1]).select("pattern", features("text").alias("f"))
-    rows = rows.select(F.lit(0).alias("all"), "pattern", "f.slots", "f.shares")
+    rows = picked[0].union(picked[1]).select(F.lit(0).alias("all"), "pattern", "f.slots", "f.shares")
     row = rows.groupBy("all").applyInArrow(_trainer(by_pattern), "weights array<double>, bias double").first()
     # both sides weigh alike in the sample; the bias brings their true shares back
     odds = np.log(sides[True] / sides[False]) - np.log(min(sides[True], sample) / min(sides[False], sample))
