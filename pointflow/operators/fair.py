@@ -25,11 +25,8 @@ from pointflow.operators.partials import cluster_group_sums, scatter_text
 
 SELECTIONS = ("cluster_means", "population")
 
-# what one cluster adds to the total of side `s`
-_WEIGHT = {
-    "cluster_means": "if(n_{s} > 0, 1D, 0D)",
-    "population": "CAST(coalesce(n_{s}, 0L) AS DOUBLE)",
-}
+# what one cluster adds to the total of its group
+_WEIGHT = {"cluster_means": "if(n > 0, 1D, 0D)", "population": "CAST(n AS DOUBLE)"}
 
 # fixed values of the search
 GAMMA_START = 0.5
@@ -61,24 +58,31 @@ def fair_models(
         for group, side in ((0, "a"), (1, "b"))
         for column in ("n", "delta", "mean")
     ]
-    clusters = measured.groupBy(*by, "k").agg(*map(F.expr, picks))
-    weights = {side: _WEIGHT[selection].format(s=side) for side in "ab"}
-    cell = ", ".join(f"coalesce(n_{s}, 0L) AS n_{s}, {w} AS w_{s}, mean_{s}" for s, w in weights.items())
-    model = clusters.groupBy(*by).agg(
-        F.expr(f"array_sort(collect_list(struct(k, {cell})))").alias("cells"),
-        *[F.expr(f"sum({w})").alias(f"total_{s}") for s, w in weights.items()],
-        *[F.expr(f"coalesce(sum(delta_{s}), 0D)").alias(f"delta_{s}") for s in weights],
+    weight = _WEIGHT[selection]
+    sides = {"a": 0, "b": 1}
+    # the cells of a model meet once, sorted, so the two groups of a cluster are neighbours
+    model = measured.groupBy(*by).agg(
+        F.expr(f"array_sort(collect_list(struct(k, grp, n, mean, {weight} AS w)))").alias("cells"),
+        *[F.expr(f"coalesce(sum({weight}) FILTER (WHERE grp = {g}), 0D)").alias(f"total_{s}") for s, g in sides.items()],
+        *[F.expr(f"coalesce(sum(delta) FILTER (WHERE grp = {g}), 0D)").alias(f"delta_{s}") for s, g in sides.items()],
     )
-    return model.selectExpr(
+    # `get` gives NULL before the first cell and after the last one
+    firsts = "filter(transform(cells, (c, i) -> i), i -> NOT get(cells, i - 1).k <=> get(cells, i).k)"
+    here, then = "get(cells, i)", "get(cells, i + 1)"
+    pairs = f"""transform({firsts}, i -> named_struct(
+        'k', {here}.k,
+        'a', if({here}.grp = 0, {here}, NULL),
+        'b', if({here}.grp = 1, {here}, if({then}.k <=> {here}.k, {then}, NULL))))"""
+    return model.withColumn("pairs", F.expr(pairs)).selectExpr(
         *by,
-        """transform(cells, c -> struct(
-            c.k AS k, c.n_a AS n_a, c.n_b AS n_b,
-            if(total_a = 0, 0D, c.w_a / total_a) AS alpha,
-            if(total_b = 0, 0D, c.w_b / total_b) AS beta,
-            coalesce(c.mean_a, c.mean_b) AS mean_a,
-            coalesce(c.mean_b, c.mean_a) AS mean_b,
+        """transform(pairs, p -> struct(
+            p.k AS k, coalesce(p.a.n, 0L) AS n_a, coalesce(p.b.n, 0L) AS n_b,
+            if(total_a = 0, 0D, coalesce(p.a.w, 0D) / total_a) AS alpha,
+            if(total_b = 0, 0D, coalesce(p.b.w, 0D) / total_b) AS beta,
+            coalesce(p.a.mean, p.b.mean) AS mean_a,
+            coalesce(p.b.mean, p.a.mean) AS mean_b,
             coalesce(sqrt(aggregate(
-                zip_with(c.mean_a, c.mean_b, (p, q) -> (p - q) * (p - q)), 0D, (u, v) -> u + v)), 0D) AS ell
+                zip_with(p.a.mean, p.b.mean, (u, v) -> (u - v) * (u - v)), 0D, (u, v) -> u + v)), 0D) AS ell
         )) AS clusters""",
         "if(total_a = 0, 0D, delta_a / total_a) AS fixed_a",
         "if(total_b = 0, 0D, delta_b / total_b) AS fixed_b",

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from pointflow.operators import assign, batches, metrics, partials, words
+from pointflow.operators import assign, batches, fair, metrics, partials, words
 
 CENTERS = [[0.0, 0.0], [1.0, 1.0]]
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
@@ -44,6 +44,13 @@ def test_one_shuffle_per_round(points):
     assert exchanges(wide) == 1 and "MapInArrow" in plan(wide)
 
 
+def test_a_fair_round_has_two_shuffles(points):
+    sums = partials.cluster_group_sums(points, CENTERS)
+    for selection in fair.SELECTIONS:
+        chosen = fair.fair_centroids(fair.fair_line_search(fair.fair_models(sums, CENTERS, selection=selection)))
+        assert exchanges(chosen) == 2
+
+
 def test_the_code_of_a_round_does_not_depend_on_the_centers(points):
     one, two = (
         re.sub(r"#\d+L?|plan_id=\d+|id=#\d+|\[c\]", "", plan(partials.cluster_group_sums(points, c)))
