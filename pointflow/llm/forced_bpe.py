@@ -30,13 +30,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_columns, text_slices
+from pointflow.llm.tables import need_text, text_slices
 
 WORD_END = "</w>"
 # a larger vocabulary file is refused, as its tables go to every task
 MAX_FILE_BYTES = 64 << 20
 # chunks remembered by a task
-CACHE_CHUNKS = 1 << 18
+CACHE_CHUNKS = 1 << 17
 # bytes of text that are encoded at a time
 SLICE_BYTES = 1 << 20
 NO_RANK = np.int64(1 << 40)
@@ -255,7 +255,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", forms: Sequ
     `decoded`, the text that the ids stand for. All come from one pass, so that
     a task needs one Python worker.
     """
-    need_columns(docs, text)
+    need_text(docs, text)
     tables = docs.sparkSession.sparkContext.broadcast(read_tables(path))
 
     @F.arrow_udf(f"struct<{', '.join(f'{f}: {FORMS[f]}' for f in forms)}>")
@@ -270,7 +270,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", forms: Sequ
 
 def decode_documents(docs: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Adds the text that a list of ids stands for."""
-    need_columns(docs, ids)
+    need_text(docs, ids)
     tables = docs.sparkSession.sparkContext.broadcast(read_tables(path))
 
     @F.arrow_udf("string")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_columns, text_slices
+from pointflow.llm.tables import need_text, text_slices
 
 MAX_PAD = 200
 MAX_SPAN = 1000
@@ -380,7 +380,7 @@ def visible_text(html: str | None) -> str:
 
 def extract_text(pages: DataFrame, html: str = "html", extracted: str = "extracted") -> DataFrame:
     """Adds the visible text to the columns of `pages`."""
-    need_columns(pages, html)
+    need_text(pages, html)
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

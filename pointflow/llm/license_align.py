@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_columns, text_slices
+from pointflow.llm.tables import need_text, text_slices
 
 MIN_COVERAGE = 0.8
 WORDS = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
@@ -141,7 +141,7 @@ def scan_licenses(
     docs: DataFrame, templates: Mapping[str, str] = NOTICES, text: str = "text", least: float = MIN_COVERAGE
 ) -> DataFrame:
     """Adds `licenses`, an array of (license, coverage, first_word, last_word) with the best first."""
-    need_columns(docs, text)
+    need_text(docs, text)
     cut = {name: license_words(body) for name, body in templates.items()}
 
     @F.arrow_udf("array<struct<license: string, coverage: double, first_word: bigint, last_word: bigint>>")

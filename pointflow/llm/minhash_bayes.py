@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from pointflow.llm.components import connected, forest
 from pointflow.llm.shingles import BANDS, HASHES, set_key, shingle_sets, signatures
-from pointflow.llm.tables import Scratch, need_columns, text_slices
+from pointflow.llm.tables import Scratch, need_text, text_slices
 
 # probability with which a pair at the threshold may be pruned
 MISS = 1e-7
@@ -286,7 +286,7 @@ def near_components(
     docs: DataFrame, width: int = 5, percent: int = 80, ident: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """`ident, n_shingles, component_id, kept`, one row per row of `docs`."""
-    need_columns(docs, ident, text)
+    need_text(docs, ident, text)
     scratch = Scratch(docs.sparkSession, "near-dedup")
     docs = docs.select(F.col(ident).alias("id"), F.col(text).alias("text"))
     parts = shingle_columns("text", width)

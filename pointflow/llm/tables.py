@@ -41,6 +41,23 @@ def need_columns(df: DataFrame, *names: str) -> None:
         raise ValueError(f"missing columns: {missing}")
 
 
+BATCH_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS = 1024
+
+
+def need_text(df: DataFrame, *names: str) -> None:
+    """`need_columns`, and Arrow batches of fewer rows for the session.
+
+    Texts are wide: the usual 10,000 rows of a batch are tens of megabytes in
+    the JVM and again in Python, for every running task. A smaller number that
+    the session already has stays.
+    """
+    need_columns(df, *names)
+    spark = df.sparkSession
+    if int(spark.conf.get(BATCH_ROWS_KEY)) > TEXT_ROWS:
+        spark.conf.set(BATCH_ROWS_KEY, TEXT_ROWS)
+
+
 def text_slices(batches: Iterator[pa.Array], limit: int = 2 << 20) -> Iterator[list[str | None]]:
     """The texts of Arrow batches in lists of about `limit` bytes each; a longer text is a list of its own.
 
@@ -56,3 +73,5 @@ def text_slices(batches: Iterator[pa.Array], limit: int = 2 << 20) -> Iterator[l
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start).to_pylist()
             start = stop
+    # an idle worker should not sit on what its last task needed
+    pa.default_memory_pool().release_unused()

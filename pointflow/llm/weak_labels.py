@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_columns, text_slices
+from pointflow.llm.tables import need_text, text_slices
 
 BAD, GOOD, NONE = 0, 1, 2
 # documents of each side that the scorer is trained on, a documented bound
@@ -277,7 +277,7 @@ def _trainer(posterior: dict[int, float]):
 
 def fit_quality(docs: DataFrame, ident: str = "doc_id", text: str = "text", sample: int = SAMPLE_DOCS) -> QualityModel:
     """Fit the label model on the vote patterns of all documents, and the scorer on a sample of both sides."""
-    need_columns(docs, ident, text)
+    need_text(docs, ident, text)
     rows = docs.select(F.xxhash64(F.lit(11), F.col(ident)).alias("draw"), F.col(text).alias("text"))
     # at most PATTERNS rows come back
     tally = rows.select(_pattern_column("text").alias("pattern")).groupBy("pattern").count().collect()
@@ -320,13 +320,13 @@ def fit_quality(docs: DataFrame, ident: str = "doc_id", text: str = "text", samp
 
 def judge_quality(docs: DataFrame, ident: str = "doc_id", text: str = "text", model: QualityModel | None = None) -> DataFrame:
     """Adds `quality`, a struct of score, posterior and kept, to the columns of `docs`."""
-    need_columns(docs, ident, text)
+    need_text(docs, ident, text)
     model = model or fit_quality(docs, ident, text)
     return docs.withColumn("quality", model.columns(F.col(text)))
 
 
 def keep_quality(docs: DataFrame, ident: str = "doc_id", text: str = "text", model: QualityModel | None = None) -> DataFrame:
     """The rows of `docs` that are kept, with all their columns."""
-    need_columns(docs, ident, text)
+    need_text(docs, ident, text)
     model = model or fit_quality(docs, ident, text)
     return docs.where(model.columns(F.col(text)).getField("kept"))

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_columns, text_slices
+from pointflow.llm.tables import need_text, text_slices
 
 UNKNOWN = "und"
 MIN_MARGIN = 0.01
@@ -97,7 +97,7 @@ def fit_languages(labelled: DataFrame, ident: str = "doc_id", text: str = "text"
     of rows. Languages are counted first, without reading texts, which tells
     what part of a language must be read to have enough.
     """
-    need_columns(labelled, ident, text, lang)
+    need_text(labelled, ident, text, lang)
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.xxhash64(F.lit(5), F.col(ident)).alias("draw"), F.col(lang).alias("lang"), F.col(text).alias("text")
     )
@@ -122,5 +122,5 @@ def fit_languages(labelled: DataFrame, ident: str = "doc_id", text: str = "text"
 
 def identify_languages(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """Adds `language`, a struct of lang, score and accepted, to the columns of `docs`."""
-    need_columns(docs, text)
+    need_text(docs, text)
     return docs.withColumn("language", model.columns(docs, F.col(text)))
