@@ -21,8 +21,9 @@ Similarities are compared in integers: 100 |A & B| >= percent |A | B|.
 
 Defined results: a text without words, empty or NULL, has no shingles and is
 linked with nothing. A row with a NULL id takes no part and is kept, its
-component NULL. Rows that repeat an id are judged row by row. An empty table
-gives an empty result. Other columns do not matter, whatever their names.
+component NULL. Rows that repeat an id are judged row by row; of rows that repeat
+id and text, and have words, `near_dedup` keeps one. An empty table gives an
+empty result. Other columns do not matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -282,18 +283,17 @@ def _across(
     return read.mapInArrow(_tile_links(width, percent), "a bigint, b bigint").distinct()
 
 
-def near_components(
-    docs: DataFrame, width: int = 5, percent: int = 80, ident: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """`ident, n_shingles, component_id, kept`, one row per row of `docs`."""
+def _judged(docs: DataFrame, width: int, percent: int, ident: str, text: str) -> DataFrame:
+    """`id, mark, n, component` of each row, the mark being a hash of the text."""
     need_text(docs, ident, text)
     scratch = Scratch(docs.sparkSession, "near-dedup")
     docs = docs.select(F.col(ident).alias("id"), F.col(text).alias("text"))
     parts = shingle_columns("text", width)
-    rows = scratch.keep(docs.select("id", parts.alias("s")).select("id", "s.n", "s.key", "s.bands"), "rows")
+    signed = docs.select("id", F.xxhash64("text").alias("mark"), parts.alias("s"))
+    rows = scratch.keep(signed.select("id", "mark", "s.n", "s.key", "s.bands"), "rows")
     named = rows.where("key IS NOT NULL AND id IS NOT NULL")
     nodes = scratch.keep(named.groupBy("key", "n", "bands").agg(F.min("id").alias("node")), "nodes")
-    rows = rows.select("id", "n", "key")
+    rows = rows.select("id", "mark", "n", "key")
 
     exploded = nodes.select("node", F.posexplode("bands").alias("band", "mark"))
     buckets = exploded.select("node", F.xxhash64("band", "mark").alias("bucket"))
@@ -319,20 +319,35 @@ def near_components(
         comps = scratch.keep(connected(scratch, links.union(more), "second"), "second")
 
     classes = nodes.join(comps, "node", "left").select("key", F.coalesce("component", "node").alias("component"))
-    found = rows.join(classes, "key", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return found.select(
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component")
+    return rows.join(classes, "key", "left").select("id", "mark", "n", component)
+
+
+def near_components(
+    docs: DataFrame, width: int = 5, percent: int = 80, ident: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """`ident, n_shingles, component_id, kept`, one row per row of `docs`."""
+    return _judged(docs, width, percent, ident, text).select(
         F.col("id").alias(ident),
         F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
     )
 
 
 def near_dedup(
     docs: DataFrame, width: int = 5, percent: int = 80, ident: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The rows of `docs` without those that are not the smallest of their component, with all their columns."""
-    found = near_components(docs, width, percent, ident, text)
-    lost = found.where(~F.col("kept")).select(F.col(ident).alias("lost_id")).distinct()
-    return docs.join(lost, docs[ident] == F.col("lost_id"), "left_anti")
+    """The rows of `docs` that stay, one of each component, with all their columns."""
+    scratch = Scratch(docs.sparkSession, "near-dedup")
+    judged = scratch.keep(_judged(docs, width, percent, ident, text), "judged")
+    lost = judged.where("id <> component").select("id", "mark").distinct()
+    again = judged.where("id = component AND n > 0").groupBy("id", "mark").count().where("count > 1").select("id", "mark")
+    again = scratch.keep(again, "again")
+    whole = docs.select(F.struct("*").alias("doc"), F.col(ident).alias("id"), F.xxhash64(text).alias("mark"))
+    left = whole.join(lost, ["id", "mark"], "left_anti")
+    if again.isEmpty():
+        return left.select("doc.*")
+    # rows that repeat id and text shrink to one in each task before they are shuffled
+    one = left.join(again, ["id", "mark"], "left_semi").groupBy("id", "mark").agg(F.first("doc").alias("doc"))
+    return left.join(again, ["id", "mark"], "left_anti").select("doc.*").union(one.select("doc.*"))

@@ -147,6 +147,16 @@ def test_near_components_nulls_and_repeats(spark):
     assert minhash_bayes.near_components(docs(spark, []), 4).count() == 0
 
 
+def test_near_dedup_of_repeated_rows_and_ids(spark):
+    text, other = "a b c d e f g", "h i j k l m n"
+    rows = [(4, text), (4, text), (9, text), (9, other), (7, ""), (7, None), (7, ""), (None, text)]
+    frame = docs(spark, rows).selectExpr("*", "1 AS lost_id", "2 AS id", "3 AS mark")
+    left = minhash_bayes.near_dedup(frame)
+    assert left.columns == frame.columns
+    want = [(4, text), (7, ""), (7, ""), (7, None), (9, other), (None, text)]
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(want, key=str)
+
+
 def test_common_counts():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 80, rng.integers(0, 60))).astype(np.uint64) for _ in range(40)]
