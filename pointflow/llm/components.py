@@ -12,13 +12,14 @@ from pointflow.llm.tables import Scratch
 MAX_ROUNDS = 100
 
 
-def _lowest(edges: DataFrame) -> DataFrame:
+def _lowest(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     """`u, v` with the smallest of u and its neighbours as `low`.
 
-    The minimum is an aggregate with a map-side part, and the join that brings
-    it back can be split where one node has very many neighbours.
+    The minimum is an aggregate with a map-side part. It is written, as only a
+    join of two plain shuffles can be split where one node has very many
+    neighbours.
     """
-    low = edges.groupBy("u").agg(F.min("v").alias("low"))
+    low = scratch.keep(edges.groupBy("u").agg(F.min("v").alias("low")), name)
     return edges.join(low.withColumn("low", F.least("u", "low")), "u")
 
 
@@ -35,14 +36,14 @@ def connected(scratch: Scratch, edges: DataFrame, name: str = "components") -> D
     state = None
     for step in range(1, MAX_ROUNDS):
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _lowest(both).where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
-        small = _lowest(large)
+        large = _lowest(scratch, both, f"{name}-large").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
+        small = _lowest(scratch, large, f"{name}-small")
         # a node hands its lowest neighbour to the others, and keeps it itself
         moved = small.where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         kept = small.select("u", F.col("low").alias("v"))
         following = scratch.keep(moved.union(kept).distinct(), f"{name}-{step}")
         totals = following.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        scratch.drop(f"{name}-{step - 1}")
+        scratch.drop(f"{name}-{step - 1}", f"{name}-large", f"{name}-small")
         current = following
         if totals == state:
             break

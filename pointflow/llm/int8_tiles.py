@@ -131,7 +131,8 @@ def cosine_links(
         classes.select(F.xxhash64("label", "vector", "first").alias("rep"), "label", "vector", "first", "copies"), "named"
     )
     width = F.size("vector").alias("width")
-    sizes = named.groupBy("label", width).agg(F.ceil(F.count("*") / block).alias("blocks"))
+    # what is known of a group is written before it joins its members, so that the join can split a hot group
+    sizes = scratch.keep(named.groupBy("label", width).agg(F.ceil(F.count("*") / block).alias("blocks")), "sizes")
     placed = named.withColumn("width", F.size("vector")).join(sizes, ["label", "width"])
     placed = placed.withColumn("block", F.pmod("rep", "blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
@@ -153,7 +154,7 @@ def cosine_links(
     comps = connected(scratch, found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     totals = found.groupBy("rep").agg(F.sum("links").alias("links"))
     linked = named.select("rep", "first").join(comps.withColumnRenamed("node", "rep"), "rep")
-    lowest = linked.groupBy("component").agg(F.min("first").alias("component_id"))
+    lowest = scratch.keep(linked.groupBy("component").agg(F.min("first").alias("component_id")), "lowest")
     member = linked.join(lowest, "component").select("rep", "component_id")
     judged = named.join(totals, "rep", "left").join(member, "rep", "left")
     judged = judged.select(
