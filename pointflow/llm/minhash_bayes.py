@@ -259,10 +259,12 @@ def _across(
 ) -> DataFrame:
     """Links `a, b` between different components, from the buckets that hold more than one."""
     members = crowded.join(comps, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("label"))
-    mixed = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    # what is known of a bucket is written before it joins its members, so that the join can split a hot bucket
+    labels = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = scratch.keep(labels.where("low <> high").select("bucket"), "labels")
     signed = scratch.keep(members.join(mixed, "bucket", "left_semi").join(nodes.select("node", "n", "bands"), "node"), "mixed")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks")
-    spread = signed.join(signed.groupBy("bucket").agg(blocks), "bucket")
+    spread = signed.join(scratch.keep(signed.groupBy("bucket").agg(blocks), "blocks"), "bucket")
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
     tiles = spread.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks")).select("*", other)
     tiles = tiles.select(
@@ -298,7 +300,7 @@ def _judged(docs: DataFrame, width: int, percent: int, ident: str, text: str) ->
     exploded = nodes.select("node", F.posexplode("bands").alias("band", "mark"))
     buckets = exploded.select("node", F.xxhash64("band", "mark").alias("bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("m")).where("m > 1")
-    members = scratch.keep(buckets.join(hubs, "bucket"), "members")
+    members = scratch.keep(buckets.join(scratch.keep(hubs, "hubs"), "bucket"), "members")
     # in a bucket of two the one pair is judged by way of the hub
     crowded = members.where("m > 2").select("bucket", "node")
     pairs = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
@@ -314,7 +316,7 @@ def _judged(docs: DataFrame, width: int, percent: int, ident: str, text: str) ->
     links = scratch.keep(_verified(texts, alike, width, percent), "links")
     comps = scratch.keep(connected(scratch, links, "first"), "first")
     more = scratch.keep(_across(scratch, texts, nodes, crowded, comps, width, percent), "more")
-    scratch.drop("members", "mixed", "tested", "texts")
+    scratch.drop("members", "hubs", "mixed", "labels", "blocks", "tested", "texts")
     if not more.isEmpty():
         comps = scratch.keep(connected(scratch, links.union(more), "second"), "second")
 
