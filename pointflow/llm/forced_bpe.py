@@ -48,6 +48,24 @@ PRE_TOKEN_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zA-Z]+|[0-9]|[^a-zA-Z0-9]+"
 # separators that Python takes for white space and the tokenizer does not
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 SPACES = re.compile("[\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+# fixed values: combining marks and composing letters that came after Unicode 9, up to which the tokenizer's NFC goes;
+# it neither reorders nor composes them
+NEWER_MARKS = (
+    "\u07fd\u0898-\u089f\u08ca-\u08d3\u09fe\u0c3c\u0d3b-\u0d3c\u0eba\u1715\u1abf-\u1ace\u1df6-\u1dfa\ua82c"
+    "\U00010d24-\U00010d27\U00010eab-\U00010eac\U00010efd-\U00010eff\U00010f46-\U00010f50\U00010f82-\U00010f85"
+    "\U00011070\U0001133b\U0001145e\U00011839-\U0001183a\U00011930\U00011935\U00011938\U0001193d-\U0001193e"
+    "\U00011943\U000119e0\U00011a34\U00011a47\U00011a99\U00011d42\U00011d44-\U00011d45\U00011d97"
+    "\U00011f41-\U00011f42\U00016ff0-\U00016ff1\U0001e08f\U0001e130-\U0001e136\U0001e2ae"
+    "\U0001e2ec-\U0001e2ef\U0001e4ec-\U0001e4ef"
+)
+NEWER = re.compile(f"([{NEWER_MARKS}]+)")
+
+
+def composed(text: str) -> str:
+    """NFC as the tokenizer has it."""
+    if not NEWER.search(text):
+        return unicodedata.normalize("NFC", text)
+    return "".join([x if NEWER.match(x) else unicodedata.normalize("NFC", x) for x in NEWER.split(text)])
 
 
 def byte_letters() -> list[str]:
@@ -189,7 +207,7 @@ class Encoder:
         """Normalised white-space separated chunks of a text without special tokens."""
         if not text.isascii():
             # the tokenizer lowers letter by letter, without the rule for a sigma at the end of a word
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            text = composed(text).replace("Σ", "σ")
         text = text.lower()
         return [c for c in SPACES.split(text) if c] if NOT_SPACE.search(text) else text.split()
 

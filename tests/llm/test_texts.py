@@ -1,6 +1,7 @@
 """Quality, licenses, HTML, URLs, languages, mixing and BPE."""
 
 import random
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -361,6 +362,18 @@ def test_bpe_equals_the_library(spark, library):
     assert decoded == {r["doc_id"]: r["bpe"]["decoded"] for r in rows}
 
 
+def test_marks_compose_as_in_the_library():
+    from tokenizers import normalizers
+
+    nfc = normalizers.NFC()
+    marks = [c for c in map(chr, range(0x300, 0x1F000)) if unicodedata.category(c) in ("Mn", "Mc")]
+    assert len(marks) > 2000
+    for mark in marks:
+        for other in "\u0334\u093c\u0323\u0301\u05b0":
+            text = f"e{mark}{other}e{other}{mark}{mark}\u0301 \U00011935\U00011930"
+            assert forced_bpe.composed(text) == nfc.normalize_str(text)
+
+
 def test_certain_cuts_are_certain(library):
     """No token of the vocabulary spans a cut, and fragments encode on their own as within the word."""
     encoder = forced_bpe.Encoder(forced_bpe.read_tables(word_bpe_file()))
