@@ -20,10 +20,12 @@
 Similarities are compared in integers: 100 |A & B| >= percent |A | B|.
 
 Defined results: a text without words, empty or NULL, has no shingles and is
-linked with nothing. A row with a NULL id takes no part and is kept, its
-component NULL. Rows that repeat an id are judged row by row; of rows that repeat
-id and text, and have words, `near_dedup` keeps one. An empty table gives an
-empty result. Other columns do not matter, whatever their names.
+linked with nothing. Nodes are named by a hash of their set, so rows that repeat
+an id are judged by their texts. Rows with a NULL id are compared among
+themselves only, and their component is NULL. Of each component the smallest id
+is kept, of its texts in the component the one of the smallest hash; of rows that
+repeat id and text, and have words, `near_dedup` keeps one. An empty table gives
+an empty result. Other columns do not matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -286,19 +288,22 @@ def _across(
 
 
 def _judged(docs: DataFrame, width: int, percent: int, ident: str, text: str) -> DataFrame:
-    """`id, mark, n, component` of each row, the mark being a hash of the text."""
+    """`id, mark, n, component, kept` of each row, the mark being a hash of the text."""
     need_text(docs, ident, text)
     scratch = Scratch(docs.sparkSession, "near-dedup")
     docs = docs.select(F.col(ident).alias("id"), F.col(text).alias("text"))
     parts = shingle_columns("text", width)
     signed = docs.select("id", F.xxhash64("text").alias("mark"), parts.alias("s"))
     rows = scratch.keep(signed.select("id", "mark", "s.n", "s.key", "s.bands"), "rows")
-    named = rows.where("key IS NOT NULL AND id IS NOT NULL")
-    nodes = scratch.keep(named.groupBy("key", "n", "bands").agg(F.min("id").alias("node")), "nodes")
-    rows = rows.select("id", "mark", "n", "key")
-
-    exploded = nodes.select("node", F.posexplode("bands").alias("band", "mark"))
-    buckets = exploded.select("node", F.xxhash64("band", "mark").alias("bucket"))
+    rows = rows.withColumn("anonymous", F.col("id").isNull())
+    first = F.min(F.struct("id", "mark")).alias("first")
+    classes = rows.where("key IS NOT NULL").groupBy("anonymous", "key", "n", "bands").agg(first)
+    # two texts under one id are two classes, so a class needs a name of its own
+    nodes = scratch.keep(classes.withColumn("node", F.xxhash64("anonymous", "key")), "nodes")
+    rows = rows.select("id", "mark", "n", "anonymous", "key")
+
+    exploded = nodes.select("node", "anonymous", F.posexplode("bands").alias("band", "mark"))
+    buckets = exploded.select("node", F.xxhash64("anonymous", "band", "mark").alias("bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("m")).where("m > 1")
     members = scratch.keep(buckets.join(scratch.keep(hubs, "hubs"), "bucket"), "members")
     # in a bucket of two the one pair is judged by way of the hub
@@ -310,9 +315,11 @@ def _judged(docs: DataFrame, width: int, percent: int, ident: str, text: str) ->
     alike = scratch.keep(signed.where(_alike(percent)("left", "right")).select("a", "b"), "alike")
 
     # texts are shuffled once, for all that may have to be verified
-    needed = crowded.select(F.col("node").alias("id")).union(alike.select("a")).union(alike.select("b")).distinct()
-    texts = docs.join(needed, "id", "left_semi").select(F.col("id").alias("node"), "text")
-    texts = scratch.keep(texts, "texts")
+    needed = crowded.select("node").union(alike.select("a")).union(alike.select("b")).distinct()
+    wanted = nodes.join(needed, "node").select("node", F.col("first.id").alias("of"), F.col("first.mark").alias("as"))
+    found = docs.join(wanted, F.col("id").eqNullSafe(F.col("of")) & (F.xxhash64("text") == F.col("as")))
+    # rows that repeat id and text are one node
+    texts = scratch.keep(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
     links = scratch.keep(_verified(texts, alike, width, percent), "links")
     comps = scratch.keep(connected(scratch, links, "first"), "first")
     more = scratch.keep(_across(scratch, texts, nodes, crowded, comps, width, percent), "more")
@@ -320,9 +327,15 @@ def _judged(docs: DataFrame, width: int, percent: int, ident: str, text: str) ->
     if not more.isEmpty():
         comps = scratch.keep(connected(scratch, links.union(more), "second"), "second")
 
-    classes = nodes.join(comps, "node", "left").select("key", F.coalesce("component", "node").alias("component"))
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component")
-    return rows.join(classes, "key", "left").select("id", "mark", "n", component)
+    linked = nodes.select("node", "first").join(comps, "node")
+    # what is known of a component is written before it joins its members, so that the join can split a large one
+    lowest = scratch.keep(linked.groupBy("component").agg(F.min("first").alias("lowest")), "lowest")
+    member = linked.join(lowest, "component").select("node", "lowest")
+    classes = nodes.join(member, "node", "left").select("anonymous", "key", F.coalesce("lowest", "first").alias("lowest"))
+    component = F.coalesce("lowest.id", "id").alias("component")
+    lead = F.col("id").eqNullSafe(F.col("lowest.id")) & (F.col("mark") == F.col("lowest.mark"))
+    kept = (F.col("key").isNull() | lead).alias("kept")
+    return rows.join(classes, ["anonymous", "key"], "left").select("id", "mark", "n", component, kept)
 
 
 def near_components(
@@ -333,7 +346,7 @@ def near_components(
         F.col("id").alias(ident),
         F.col("n").alias("n_shingles"),
         F.col("component").alias("component_id"),
-        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
+        "kept",
     )
 
 
@@ -343,13 +356,15 @@ def near_dedup(
     """The rows of `docs` that stay, one of each component, with all their columns."""
     scratch = Scratch(docs.sparkSession, "near-dedup")
     judged = scratch.keep(_judged(docs, width, percent, ident, text), "judged")
-    lost = judged.where("id <> component").select("id", "mark").distinct()
-    again = judged.where("id = component AND n > 0").groupBy("id", "mark").count().where("count > 1").select("id", "mark")
+    named = [F.col("id").alias("of"), F.col("mark").alias("as")]
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("as"))
+    lost = judged.where("NOT kept").select(*named).distinct()
+    again = judged.where("kept AND n > 0").groupBy("id", "mark").count().where("count > 1").select(*named)
     again = scratch.keep(again, "again")
     whole = docs.select(F.struct("*").alias("doc"), F.col(ident).alias("id"), F.xxhash64(text).alias("mark"))
-    left = whole.join(lost, ["id", "mark"], "left_anti")
+    left = whole.join(lost, same, "left_anti")
     if again.isEmpty():
         return left.select("doc.*")
     # rows that repeat id and text shrink to one in each task before they are shuffled
-    one = left.join(again, ["id", "mark"], "left_semi").groupBy("id", "mark").agg(F.first("doc").alias("doc"))
-    return left.join(again, ["id", "mark"], "left_anti").select("doc.*").union(one.select("doc.*"))
+    one = left.join(again, same, "left_semi").groupBy("id", "mark").agg(F.first("doc").alias("doc"))
+    return left.join(again, same, "left_anti").select("doc.*").union(one.select("doc.*"))

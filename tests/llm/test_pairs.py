@@ -157,6 +157,26 @@ def test_near_dedup_of_repeated_rows_and_ids(spark):
     assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(want, key=str)
 
 
+def test_near_dedup_judges_ids_that_repeat_by_their_texts(spark):
+    def text(tag, changed=""):
+        words = [f"{tag}{i}" for i in range(60)]
+        return " ".join(words[:-1] + [changed or words[-1]])
+
+    # one id with two texts, near copies under one id, near copies without an id
+    rows = [(3, text("a", "x")), (5, text("a")), (5, text("b")), (8, text("b")), (9, text("b", "y"))]
+    rows += [(11, text("c")), (11, text("c", "x")), (11, text("c", "y"))]
+    rows += [(None, text("d", f"v{i}")) for i in range(4)] + [(None, text("e")), (None, text("e")), (None, None)]
+    frame = docs(spark, rows)
+    left = [(r["doc_id"], r["text"]) for r in minhash_bayes.near_dedup(frame).collect()]
+    assert sorted((i, t[:1]) for i, t in left if i is not None) == [(3, "a"), (5, "b"), (11, "c")]
+    assert sorted((t or "")[:1] for i, t in left if i is None) == ["", "d", "e"]
+    got = minhash_bayes.near_components(frame).collect()
+    ids = sorted((r["doc_id"], r["component_id"]) for r in got if r["doc_id"] is not None)
+    assert ids == [(3, 3), (5, 3), (5, 5), (8, 5), (9, 5), (11, 11), (11, 11), (11, 11)]
+    assert sum(r["kept"] for r in got if r["doc_id"] == 11) == 1
+    assert all(r["component_id"] is None for r in got if r["doc_id"] is None)
+
+
 def test_common_counts():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 80, rng.integers(0, 60))).astype(np.uint64) for _ in range(40)]
