@@ -7,11 +7,15 @@ is the part of the template's words that are aligned; a template is found from
 MIN_COVERAGE on.
 
 A notice that stands in a text twice has no unique words there. So where the
-whole text does not reach the coverage, windows around each occurrence of the
-template's rarest word are aligned too, and the best counts.
+whole text does not reach the coverage, windows are aligned too, and the best
+counts. An alignment that reaches it lacks so many template words at most; of
+that many and one more, the rarest in the text, it holds one, so windows of
+several widths are laid around every occurrence of each of them. Windows of a
+long template that lie within 1/64 of its length are aligned as one.
 
-A template is tried only where enough of its words occur at all, which bounds
-the coverage from above, so nothing is lost by it.
+A template is tried only where enough of its words occur at all, and windows only
+where the longest common subsequence is long enough. Both bound the coverage from
+above, so nothing is lost by it.
 
 Defined results: a NULL text counts as empty; a text without a template has an
 empty list and a NULL license. Of equal coverages the longer template wins, then
@@ -25,6 +29,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping
+from itertools import product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -104,23 +109,59 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
+def common_length(text: list[str], template: list[str]) -> int:
+    """Length of the longest common subsequence, a row of bits at a time."""
+    masks: dict[str, int] = {}
+    for j, word in enumerate(template):
+        masks[word] = masks.get(word, 0) | 1 << j
+    full = (1 << len(template)) - 1
+    row = full
+    for word in text:
+        if word in masks:
+            hit = row & masks[word]
+            row = ((row + hit) | (row - hit)) & full
+    return len(template) - row.bit_count()
+
+
 def scan(text: list[str], template: list[str], least: float) -> tuple[float, int, int] | None:
     """Coverage, first and last aligned word of the best alignment that reaches `least`."""
-    in_text = Counter(w for w in text if w in set(template))
-    need = Counter(template)
-    if sum(min(n, in_text[w]) for w, n in need.items()) < least * len(template):
+    need, n = Counter(template), len(template)
+    in_text = Counter(w for w in text if w in need)
+    if sum(min(m, in_text[w]) for w, m in need.items()) < least * n:
         return None
 
     def judged(lo: int, hi: int) -> tuple[float, int, int]:
         pairs = align(text[lo:hi], template)
-        return (len(pairs) / len(template), lo + pairs[0][0], lo + pairs[-1][0]) if pairs else (0.0, lo, lo)
+        return (len(pairs) / n, lo + pairs[0][0], lo + pairs[-1][0]) if pairs else (0.0, lo, lo)
 
     best = judged(0, len(text))
-    if best[0] < least:
-        rarest = min((w for w in need if in_text[w]), key=lambda w: (in_text[w], template.index(w)))
-        at, slack = template.index(rarest), len(template)
-        for i in [i for i, w in enumerate(text) if w == rarest]:
-            best = max(best, judged(max(0, i - at - slack), i - at + len(template) + slack), key=lambda x: x[0])
+    if best[0] >= least:
+        return best
+    top = common_length(text, template) / n
+    if top < least:
+        return None
+    enough = next(m for m in range(n + 1) if m / n >= least)
+    rarest = sorted(range(n), key=lambda j: (in_text[template[j]], j))[: n - enough + 1]
+    places: dict[str, list[int]] = {}
+    known = [0]
+    for i, word in enumerate(text):
+        known.append(known[-1] + (word in need))
+        if word in need:
+            places.setdefault(word, []).append(i)
+    step = max(1, n // 64)
+    starts = Counter((i - j) // step * step for j in rarest for i in places.get(template[j], ()))
+    slacks = sorted({0, 1, 2, n // 8, n // 4, n // 2, n}) if n < 64 else [0, n // 16, n // 4, n]
+    seen = set()
+    # places that most of the words agree on come first; no window covers more than the longest subsequence
+    for start, _ in starts.most_common():
+        for before, after in sorted(product(slacks, slacks), key=sum):
+            window = max(0, start - before), min(len(text), start + step - 1 + n + after)
+            if window in seen or known[window[1]] - known[window[0]] < enough:
+                continue
+            seen.add(window)
+            best = max(best, judged(*window), key=lambda x: x[0])
+            if best[0] >= top:
+                return best
     return best if best[0] >= least else None
 
 

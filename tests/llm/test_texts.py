@@ -147,6 +147,29 @@ def test_license_scan(spark):
     assert license_align.scan_licenses(docs(spark, [])).count() == 0
 
 
+def test_license_windows_equal_a_scan_of_all_windows():
+    template = license_align.license_words(license_align.NOTICES["MIT"])
+    notice = "Distributed under the MIT License. "
+    for text in (notice * 2 + LONG + "released " + LONG, LONG + "released " + LONG + notice + LONG + notice + LONG):
+        words = license_align.license_words(text)
+        assert license_align.scan(words, template, 0.8)[0] == 0.8
+    rng = random.Random(12)
+    hits = 0
+    for round in range(600):
+        template = [rng.choice("abcdefg") for _ in range(rng.choice([5, 8]))]
+        words = []
+        for _ in range(rng.randrange(1, 4)):
+            copy = list(template)
+            copy[rng.randrange(len(copy))] = rng.choice("abcxyz")
+            words += [rng.choice("abcdefgxyz") for _ in range(rng.randrange(5))] + copy
+        spans = [(i, j) for i in range(len(words)) for j in range(i + 1, min(len(words), i + 3 * len(template)) + 1)]
+        want = max(len(license_align.align(words[i:j], template)) for i, j in spans) >= 0.8 * len(template)
+        hits += want
+        assert (license_align.scan(words, template, 0.8) is not None) >= want, (words, template)
+        assert license_align.common_length(words, template) == lcs(words, template)
+    assert hits > 300
+
+
 # HTML
 
 
