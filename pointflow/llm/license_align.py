@@ -28,8 +28,9 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import product
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,6 +50,15 @@ NOTICES = {
 }
 
 
+def known_licenses() -> dict[str, list[str]]:
+    """The notices, and the bodies and headers in the folder `licenses`, by license; read by the driver only."""
+    out = {name: [notice] for name, notice in NOTICES.items()}
+    for path in sorted((Path(__file__).parent / "licenses").glob("*.txt")):
+        name = path.name.removesuffix(".txt").removesuffix(".header").removesuffix(".grant").removesuffix(".regents")
+        out.setdefault(name, []).append(path.read_text(encoding="utf-8"))
+    return out
+
+
 def license_words(text: str | None) -> list[str]:
     return WORDS.findall(text.lower()) if text else []
 
@@ -151,10 +161,11 @@ def scan(text: list[str], template: list[str], least: float) -> tuple[float, int
     step = max(1, n // 64)
     starts = Counter((i - j) // step * step for j in rarest for i in places.get(template[j], ()))
     slacks = sorted({0, 1, 2, n // 8, n // 4, n // 2, n}) if n < 64 else [0, n // 16, n // 4, n]
+    widths = sorted(product(slacks, slacks), key=sum) if n < 64 else list(zip(slacks, slacks))
     seen = set()
     # places that most of the words agree on come first; no window covers more than the longest subsequence
     for start, _ in starts.most_common():
-        for before, after in sorted(product(slacks, slacks), key=sum):
+        for before, after in widths:
             window = max(0, start - before), min(len(text), start + step - 1 + n + after)
             if window in seen or known[window[1]] - known[window[0]] < enough:
                 continue
@@ -165,25 +176,35 @@ def scan(text: list[str], template: list[str], least: float) -> tuple[float, int
     return best if best[0] >= least else None
 
 
-def scan_all(text: str | None, templates: Mapping[str, list[str]], least: float) -> list[dict]:
+def scan_all(text: str | None, templates: list[tuple[str, list[str], Counter]], least: float) -> list[dict]:
+    """The licenses found; `templates` has name, words and how often each occurs, a license one row per variant."""
     words = license_words(text)
-    found = []
+    found: dict[str, tuple[tuple[float, int, int], int]] = {}
     known = set(words)
-    for name, template in templates.items():
+    for name, template, need in templates:
+        size = len(template)
         # every word counts at most as often as it occurs, so a rough bound needs no counting
-        if template and sum(w in known for w in template) >= least * len(template):
+        if template and len(words) >= least * size and sum(m for w, m in need.items() if w in known) >= least * size:
             hit = scan(words, template, least)
-            if hit:
-                found.append({"license": name, "coverage": hit[0], "first_word": hit[1], "last_word": hit[2]})
-    return sorted(found, key=lambda f: (-f["coverage"], -len(templates[f["license"]]), f["license"]))
+            if hit and (name not in found or (hit[0], size) > (found[name][0][0], found[name][1])):
+                found[name] = hit, size
+    best = sorted(found.items(), key=lambda f: (-f[1][0][0], -f[1][1], f[0]))
+    return [{"license": name, "coverage": c, "first_word": a, "last_word": b} for name, ((c, a, b), _) in best]
 
 
 def scan_licenses(
-    docs: DataFrame, templates: Mapping[str, str] = NOTICES, text: str = "text", least: float = MIN_COVERAGE
+    docs: DataFrame,
+    templates: Mapping[str, str | Sequence[str]] = NOTICES,
+    text: str = "text",
+    least: float = MIN_COVERAGE,
 ) -> DataFrame:
-    """Adds `licenses`, an array of (license, coverage, first_word, last_word) with the best first."""
+    """Adds `licenses`, an array of (license, coverage, first_word, last_word) with the best first.
+
+    A template may have several variants, of which the best counts.
+    """
     need_text(docs, text)
-    cut = {name: license_words(body) for name, body in templates.items()}
+    variants = [(name, license_words(v)) for name, body in templates.items() for v in ([body] if isinstance(body, str) else body)]
+    cut = [(name, words, Counter(words)) for name, words in variants]
 
     @F.arrow_udf("array<struct<license: string, coverage: double, first_word: bigint, last_word: bigint>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -44,7 +44,8 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    scanned = license_align.scan_licenses(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scanned = license_align.scan_licenses(docs, license_align.known_licenses())
     best = F.get("licenses", F.lit(0))
     return scanned.select(
         "doc_id",

@@ -17,7 +17,7 @@ from pointflow.llm import (
     weak_labels,
     zstd_language,
 )
-from pointflow.llm.queries import word_bpe_file
+from pointflow.llm.queries import QUERIES, word_bpe_file
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, target string, words string"
 LONG = "lorem ipsum dolor sit amet " * 8000
@@ -147,6 +147,28 @@ def test_license_scan(spark):
     assert license_align.scan_licenses(docs(spark, [])).count() == 0
 
 
+def test_license_bodies_changed_wrapped_and_partial(spark, tmp_path):
+    known = license_align.known_licenses()
+    assert all(notice in known[name] for name, notice in license_align.NOTICES.items())
+    body = {name: max(texts, key=len) for name, texts in known.items()}
+    words = {name: text.split() for name, text in body.items()}
+    texts = {
+        "MIT": " ".join(words["MIT"]).replace("copies", "duplicates"),
+        "BSD-2-Clause": "# " + "\n# ".join(words["BSD-2-Clause"]),
+        "BSD-3-Clause": body["BSD-3-Clause"].replace("copyright holder", "Acme Inc").upper(),
+        "ISC": LONG + body["ISC"] + LONG,
+        "GPL-2.0": " ".join(words["GPL-2.0"][: len(words["GPL-2.0"]) * 9 // 10]),
+        "MPL-2.0": min(known["MPL-2.0"], key=len),
+        "Apache-2.0": max(known["Apache-2.0"][:2], key=len) + LONG,
+        "CC-BY-SA-4.0": body["CC-BY-SA-4.0"],
+        "LGPL-2.1": body["LGPL-2.1"],
+    }
+    folder = str(tmp_path / "documents.parquet")
+    docs(spark, [(i, t, None, n) for i, (n, t) in enumerate(texts.items())]).write.parquet(folder)
+    got = {r["doc_id"]: (r["license"], r["coverage"]) for r in QUERIES["op2_licenses"](spark, str(tmp_path)).collect()}
+    assert [got[i][0] for i in range(len(texts))] == list(texts) and min(c for _, c in got.values()) >= 0.8
+
+
 def test_license_windows_equal_a_scan_of_all_windows():
     template = license_align.license_words(license_align.NOTICES["MIT"])
     notice = "Distributed under the MIT License. "
