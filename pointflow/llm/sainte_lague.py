@@ -6,7 +6,9 @@ words are given to sources by the highest quotients target / (2 n + 1), and a
 source's blocks in the same way to its shards, by shard size. A shard lays its
 documents end to end in a seeded order, closes that line to a ring, and takes
 its quota of blocks from a seeded start; a quota above the ring's length goes
-round again, so a word is taken at most `repeats` times.
+round again, so a word is taken at most `repeats` times. The last block of a
+source or shard may be a short one, which ends there; what short blocks lack is
+dealt on as further blocks.
 
 Highest quotients are what rounding target / d gives for the right divisor d,
 so d is found by bisection and only ties are dealt one by one.
@@ -86,12 +88,36 @@ def sainte_lague(votes: Sequence[float], caps: Sequence[int], seats: int) -> np.
     return out
 
 
+def dealt_words(votes: Sequence[float], limits: Sequence[int], block: int, total: float, slack: float) -> np.ndarray:
+    """Words by blocks of the highest quotients, none above its limit, where its last block ends short.
+
+    If short blocks leave more than `slack` of the total, the fewest blocks are dealt that leave no more.
+    """
+    limits = np.asarray(limits, dtype=np.int64)
+    caps = -(-limits // block)
+
+    def dealt(seats: int) -> np.ndarray:
+        return np.minimum(sainte_lague(votes, caps, seats) * block, limits)
+
+    low, high = max(round(total / block), int(total > 0)), int(caps.sum())
+    out = dealt(low)
+    if total - out.sum() <= slack or low >= high:
+        return out
+    while low + 1 < high:
+        middle = (low + high) // 2
+        if total - dealt(middle).sum() <= slack:
+            high = middle
+        else:
+            low = middle
+    return dealt(high)
+
+
 def _shard_quotas(block: int, repeats: int):
     def run(shards: pd.DataFrame) -> pd.DataFrame:
         shards = shards.sort_values("shard")
         sizes = shards["words"].to_numpy()
-        quota = sainte_lague(sizes, repeats * sizes // block, int(shards["seats"].iloc[0]))
-        return pd.DataFrame({"place": shards["place"], "shard": shards["shard"], "words": sizes, "take": quota * block})
+        take = dealt_words(sizes, repeats * sizes, block, int(shards["quota"].iloc[0]), 0)
+        return pd.DataFrame({"place": shards["place"], "shard": shards["shard"], "words": sizes, "take": take})
 
     return run
 
@@ -135,14 +161,14 @@ def mix_pieces(
     words = [r["words"] for r in listed]
     weight = [weights[i % len(weights)] for i in range(len(listed))]
     target = share_targets(words, weight, share * sum(words), repeats)
-    seats = sainte_lague(target, [repeats * w // block_words for w in words], round(float(target.sum()) / block_words))
+    quota = dealt_words(target, [repeats * w for w in words], block_words, float(target.sum()), block_words / 2)
     plan = [
-        (r["source"], i, int(r["words"]), float(target[i]), int(seats[i]), max(1, -(-r["docs"] // shard_docs)))
+        (r["source"], i, int(r["words"]), float(target[i]), int(quota[i]), max(1, -(-r["docs"] // shard_docs)))
         for i, r in enumerate(listed)
     ]
     spark = docs.sparkSession
     sources = spark.createDataFrame(
-        plan, "source string, place int, source_size long, target double, seats long, shards long"
+        plan, "source string, place int, source_size long, target double, quota long, shards long"
     )
 
     # the list of sources is bounded by MAX_SOURCES
@@ -151,7 +177,7 @@ def mix_pieces(
         draw = F.xxhash64(F.lit(seed), "id")
         return joined.withColumn("draw", draw).withColumn("shard", F.pmod("draw", "shards"))
 
-    totals = placed(small).groupBy("place", "shard").agg(F.sum("size").alias("words"), F.max("seats").alias("seats"))
+    totals = placed(small).groupBy("place", "shard").agg(F.sum("size").alias("words"), F.max("quota").alias("quota"))
     quotas = scratch.keep(
         totals.groupBy("place").applyInPandas(
             _shard_quotas(block_words, repeats), "place int, shard long, words long, take long"

@@ -334,6 +334,21 @@ def test_share_targets():
     assert sainte_lague.share_targets([0, 0], [3, 1], 0, 2).tolist() == [0, 0]
 
 
+def test_tiny_sources_enter_the_mix(spark):
+    # sources of 1 to 15 words beside a large one; a source's whole mix may be a short block
+    rows = [(i, " ".join(["w"] * (1 + i % 15)), None, f"s{i:03d}") for i in range(300)]
+    frame = docs(spark, rows + [(1000 + i, "a b c d e f g h", None, "t") for i in range(50)])
+    out = sainte_lague.mix_pieces(frame).select("size", "target", sainte_lague.taken_words().alias("n")).collect()
+    total = sum(r["size"] for r in out)
+    assert sum(r["n"] for r in out) == pytest.approx(1.5 * total, abs=sainte_lague.BLOCK_WORDS)
+    assert all(r["n"] <= 2 * r["size"] for r in out)
+    # sources of seven words have a target of 14, for which a short block stands
+    assert {(r["target"], r["n"]) for r in out if r["size"] == 7} == {(14.0, 14)}
+    alone = sainte_lague.mix_pieces(docs(spark, [(i, "a b c", None, f"s{i}") for i in range(40)]))
+    assert alone.select(F.sum(sainte_lague.taken_words())).first()[0] == pytest.approx(180, abs=16)
+    assert sainte_lague.dealt_words([30], [30], 16, 30, 0).tolist() == [30]
+
+
 def mix_rows():
     rng = random.Random(8)
     rows = [(i, " ".join(f"w{j}" for j in range(rng.randrange(1, 90))), None, rng.choice(["a", "B", "é", None, "hot", "hot", "hot"])) for i in range(900)]
