@@ -12,8 +12,10 @@ from pointflow.llm import (
     int8_tiles,
     license_align,
     minhash_bayes,
+    oracles,
     sainte_lague,
     url_trie,
+    value_codebooks,
     weak_labels,
     zstd_language,
 )
@@ -109,6 +111,12 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = value_codebooks.compress_vectors(table(spark, folder, "embeddings"))
+    digest = F.lit(value_codebooks.codebooks_digest(books)).alias("codebooks_sha256")
+    return coded.select("vec_id", "code", "error", "label_error", digest)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_licenses": op2_licenses,
@@ -120,6 +128,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixture": op9_mixture,
     "op10_bpe": op10_bpe,
+    "op11_vector_codes": op11_vector_codes,
 }
 
 ORACLES = {
@@ -157,4 +166,5 @@ ORACLES = {
                sha256(t) AS text_sha256
         FROM d
     """,
+    "op11_vector_codes": oracles.vector_codes(),
 }
