@@ -53,3 +53,52 @@ def vector_codes() -> str:
                (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{vc.ROUNDS}) AS codebooks_sha256
         FROM coded
     """
+
+
+SOURCE_AUDIT = r"""
+    WITH d AS (
+        SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents
+    ), kept AS MATERIALIZED (
+        SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM d)
+        GROUP BY lang, term HAVING count(*) >= 10
+    ), vocab AS (
+        SELECT lang, count(*) AS v FROM kept GROUP BY lang
+    ), grp AS (
+        SELECT DISTINCT lang, source FROM d
+    ), tokens AS (
+        SELECT lang, source, term, count(*) AS n
+        FROM (SELECT lang, source, unnest(terms) AS term FROM d) JOIN kept USING (lang, term)
+        GROUP BY lang, source, term
+    ), dense AS (
+        SELECT lang, source, term, coalesce(n, 0) AS n
+        FROM grp JOIN kept USING (lang) LEFT JOIN tokens USING (lang, source, term)
+    ), p AS MATERIALIZED (
+        SELECT lang, source, term, n,
+               1 + CAST(1000000000 AS HUGEINT) * (n + 2) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p
+        FROM dense JOIN vocab USING (lang)
+    ), q AS MATERIALIZED (
+        SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (n + 2) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q
+        FROM (SELECT lang, term, sum(n) AS n FROM dense GROUP BY lang, term) JOIN vocab USING (lang)
+    ), apart AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+        GROUP BY a.lang, a.source, b.source
+    ), pairs AS (
+        SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+        FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+    ), terms AS (
+        SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value
+        FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+    )
+    SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value,
+           CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', item, CAST(value AS BIGINT),
+           CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM terms QUALIFY rank <= 10
+"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointflow.llm import (
+    bwt_repeats,
     forced_bpe,
     heavy_dedup,
     html_layout,
@@ -14,6 +15,7 @@ from pointflow.llm import (
     minhash_bayes,
     oracles,
     sainte_lague,
+    term_transducer,
     url_trie,
     value_codebooks,
     weak_labels,
@@ -117,6 +119,15 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", digest)
 
 
+def op12_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    cut = bwt_repeats.cut_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return term_transducer.audit_sources(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_licenses": op2_licenses,
@@ -129,6 +140,8 @@ QUERIES = {
     "op9_mixture": op9_mixture,
     "op10_bpe": op10_bpe,
     "op11_vector_codes": op11_vector_codes,
+    "op12_repeats": op12_repeats,
+    "op13_source_audit": op13_source_audit,
 }
 
 ORACLES = {
@@ -167,4 +180,5 @@ ORACLES = {
         FROM d
     """,
     "op11_vector_codes": oracles.vector_codes(),
+    "op13_source_audit": oracles.SOURCE_AUDIT,
 }
