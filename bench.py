@@ -15,7 +15,7 @@ import time
 from pyspark.sql import functions as F
 
 from pointflow import get_session
-from pointflow.operators import assign, batches, fair, kmeans, metrics, partials, words
+from pointflow.operators import assign, fair, kmeans, metrics, partials, words
 from pointflow.plans import bindings as b
 from pointflow.plans.catalog import QUERIES
 
@@ -42,12 +42,14 @@ def points3(spark, folder):
 
 def plans(spark, folder):
     p2, p3, p64 = b.points2(spark, folder), points3(spark, folder), b.points64(spark, folder)
-    lines, events = b.doc_lines(spark, folder), b.event_items(spark, folder)
+    lines = b.doc_lines(spark, folder)
+    c64 = b.centers64(spark, folder)
     total = lambda df: df.agg(F.sum("dist2"), F.sum("k")).collect()
     return {
         "assign_k4_d3": lambda: total(assign.assign_nearest(p3, grid(4, 3))),
         "assign_k100_d3": lambda: total(assign.assign_nearest(p3, grid(100, 3))),
-        "assign_k10_d64": lambda: total(assign.assign_nearest(p64, b.centers64(spark, folder))),
+        "assign_k10_d64": lambda: total(assign.assign_nearest(p64, c64)),
+        "centers64": lambda: b.centers64(spark, folder),
         "group_sums_k100_d3": lambda: partials.cluster_group_sums(p3, grid(100, 3)).collect(),
         "cluster_report": lambda: metrics.cluster_report(p2, b.CENTERS).collect(),
         "lloyd_3_rounds": lambda: kmeans.lloyd(p2, b.CENTERS, 3),
@@ -61,7 +63,7 @@ def plans(spark, folder):
         "word_count_by_partition": lambda: drain(words.word_count_by_partition(lines)),
         "doc_word_count": lambda: drain(words.doc_word_count(lines, b.LINE_KEYS)),
         "wordcount_summary": lambda: words.wordcount_summary(lines).collect(),
-        "stream_threshold_replay": lambda: batches.item_summary(batches.taken_until(events, b.THRESHOLD)).collect(),
+        "stream_threshold_replay": lambda: QUERIES["stream_threshold_replay"](spark, folder).collect(),
         "stream_distinct": lambda: drain(QUERIES["stream_distinct"](spark, folder)),
         "gen_blobs": lambda: drain(QUERIES["gen_blobs"](spark, folder)),
     }

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 # batch numbers are added up in blocks of 2^22, and blocks in blocks; three levels hold all 64-bit numbers
 BLOCK_BITS = 22
 LEVELS = 3
 # microseconds before 1970 that no timestamp reaches
 FIRST_MICROS = 10**17
+# blocks of batches that one step of the search for the last taken batch counts
+INDEX_BLOCKS = 4096
+# local and universal time differ by less than this
+ZONE_SLACK = timedelta(days=1)
 
 
 def batch_number(ts: str | Column, seconds: int) -> Column:
@@ -74,6 +80,73 @@ def taken_until(items: DataFrame, threshold: int, batch: str = "batch") -> DataF
     return items.where(F.col(batch) <= last.scalar())
 
 
+def time_bounds(events: DataFrame, ts: str, seconds: int, low: int | None, high: int | None) -> Column:
+    """What the raw time column of the batches low to high fulfils at least, in a form that a scan can prune by.
+
+    A column of universal time is bounded with a day to spare, as batches are
+    numbered by local time; the batch number itself decides. Other types and
+    years that have no literal are not bounded.
+    """
+    kind = events.schema[ts].dataType
+    held = F.col(ts).isNotNull()
+    if not isinstance(kind, (TimestampNTZType, TimestampType)):
+        return held
+    slack = ZONE_SLACK if isinstance(kind, TimestampType) else timedelta()
+    for number, sign in ((low, -1), (None if high is None else high + 1, 1)):
+        try:
+            edge = number is not None and datetime(1970, 1, 1) + timedelta(seconds=number * seconds) + sign * slack
+        except OverflowError:
+            edge = False
+        if edge:
+            bound = F.lit(edge.isoformat(sep=" ")).cast(kind)
+            held &= F.col(ts) >= bound if sign < 0 else F.col(ts) < bound
+    return held
+
+
+def last_taken(events: DataFrame, threshold: int, ts: str, seconds: int) -> int | None:
+    """The last batch that a stream with this threshold processes; None if no event has a time.
+
+    An index of at most INDEX_BLOCKS counts over ranges of batches tells the range
+    in which the threshold is crossed, and is then made for that range alone,
+    which prunes its scan by the raw time. Three steps at most reach a single
+    batch, and one does where there are no more batches than blocks.
+    """
+    if threshold < 1:
+        raise ValueError("threshold must be positive")
+    number = batch_number(ts, seconds)
+    low, high = events.where(F.col(ts).isNotNull()).agg(F.min(number), F.max(number)).first()
+    if low is None:
+        return None
+    before = 0
+    while True:
+        width = -(-(high - low + 1) // INDEX_BLOCKS)
+        inside = time_bounds(events, ts, seconds, low, high) & number.between(low, high)
+        block = F.call_function("div", number - low, F.lit(width).cast("bigint")).alias("block")
+        counts = events.where(inside).groupBy(block).agg(F.count(F.lit(1)).alias("n")).collect()
+        for found, n in sorted(counts):
+            if before + n >= threshold:
+                low, high = low + found * width, min(high, low + (found + 1) * width - 1)
+                break
+            before += n
+        else:
+            return high
+        if width == 1:
+            return low
+
+
+def taken_events(events: DataFrame, threshold: int, ts: str, seconds: int) -> DataFrame:
+    """The rows that a stream of batches of so many seconds would process before it stops.
+
+    The same as `taken_until` for batches that are intervals of a time column: the
+    last taken batch is found first, so the scan of the rows themselves is pruned
+    by a bound on the raw column. Events without a time are left out.
+    """
+    last = last_taken(events, threshold, ts, seconds)
+    if last is None:
+        return events.where(F.lit(False))
+    return events.where(time_bounds(events, ts, seconds, None, last) & (batch_number(ts, seconds) <= last))
+
+
 def batch_distinct(items: DataFrame, batch: str = "batch", item: str = "item") -> DataFrame:
     return items.select(batch, item).distinct()
 

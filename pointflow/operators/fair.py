@@ -43,13 +43,16 @@ def fair_models(
 
     `clusters` is sorted by `k` and holds `k, n_a, n_b, alpha, beta, mean_a,
     mean_b, ell` for every cluster with a point. Where one group is missing its
-    mean is the other's and `ell` is 0.
+    mean is the other's and `ell` is 0. The scatter is taken from the moments of
+    `sums` if they are there.
     """
     if selection not in SELECTIONS:
         raise ValueError(f"selection must be one of {SELECTIONS}")
     population = selection == "population"
     # the constant table is indexed by `k`, so the old centers need no join
-    delta = scatter_text(f"{table_text(as_centers(centers))}[k]") if population else "0D"
+    delta = "0D"
+    if population:
+        delta = "m2" if "m2" in sums.columns else scatter_text(f"{table_text(as_centers(centers))}[k]")
     measured = sums.selectExpr(
         *by, "k", "grp", "n", "transform(sum, s -> s / n) AS mean", f"{delta} AS delta"
     )
@@ -158,7 +161,7 @@ def fair_lloyd(
             centers = kmeans_init(kept, k, seed)
         current = as_centers(centers)
         for _ in range(rounds):
-            sums = cluster_group_sums(kept, current, strategy=strategy)
+            sums = cluster_group_sums(kept, current, strategy=strategy, moments=selection == "population")
             chosen = fair_centroids(fair_line_search(fair_models(sums, current, selection=selection)))
             for row in chosen.select("k", "center").collect():
                 current[row["k"]] = list(row["center"])

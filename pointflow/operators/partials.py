@@ -24,6 +24,8 @@ from pointflow.operators.assign import (
     whole_text,
 )
 
+# partial rows of a set are joined within so many slots first, so that no list holds those of all tasks
+MERGE_SLOTS = 64
 # widths up to which one sum column per coordinate is used; beyond it the coordinates become rows
 WIDE_DIMS = 100
 GROUPS = 2
@@ -42,18 +44,49 @@ def point_dims(points: DataFrame, point: str = "point") -> int:
     return row[0]
 
 
-def _merge_sums(df: DataFrame, keys: Sequence[str], dims: int, extra: dict[str, str], cells: str = "sum") -> DataFrame:
-    """Group by `keys`: the SQL aggregates in `extra`, and the element-wise sum of the array column `cells`."""
+def _merge_sums(
+    df: DataFrame, keys: Sequence[str], dims: int, extra: dict[str, str], cells: str = "sum", moments: bool = False
+) -> DataFrame:
+    """Group by `keys`: the SQL aggregates in `extra`, and the element-wise sum of the array column `cells`.
+
+    With `moments` also `m2`, the sum of squared distances to the set's own mean,
+    from Spark's variances, whose partial results carry a mean of their own.
+    """
     scalars = [F.expr(f"{text} AS {name}") for name, text in extra.items()]
     if dims <= WIDE_DIMS:
         totals = [F.expr(f"sum({cells}[{j}]) AS _s{j}") for j in range(dims)]
         packed = ", ".join(f"_s{j}" for j in range(dims))
-        return df.groupBy(*keys).agg(*scalars, *totals).selectExpr(*keys, *extra, f"array({packed}) AS sum")
+        if moments:
+            spread = " + ".join(f"var_pop({cells}[{j}])" for j in range(dims))
+            scalars.append(F.expr(f"count(1) * ({spread}) AS m2"))
+        columns = [*keys, *extra, *["m2"] * moments]
+        return df.groupBy(*keys).agg(*scalars, *totals).selectExpr(*columns, f"array({packed}) AS sum")
     # one row per coordinate, of which every one carries the scalars to its own group
     exploded = df.select("*", F.posexplode(cells).alias("_j", "_v"))
-    per_cell = exploded.groupBy(*keys, "_j").agg(*scalars, F.sum("_v").alias("_v"))
+    spread = [F.expr("count(1) * var_pop(_v) AS m2")] if moments else []
+    per_cell = exploded.groupBy(*keys, "_j").agg(*scalars, *spread, F.sum("_v").alias("_v"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("_j", "_v"))), lambda e: e["_v"]).alias("sum")
-    return per_cell.groupBy(*keys).agg(*[F.max(n).alias(n) for n in extra], ordered)
+    whole = [F.sum("m2").alias("m2")] if moments else []
+    return per_cell.groupBy(*keys).agg(*[F.max(n).alias(n) for n in extra], *whole, ordered)
+
+
+# two sets as one: counts and sums add up, and the gap between the means adds to the squares around them
+_JOINED = """named_struct(
+    'n', a.n + b.n,
+    'sum', zip_with(a.sum, b.sum, (u, v) -> u + v),
+    'ss', a.ss + b.ss,
+    'm2', a.m2 + b.m2 + CAST(a.n AS DOUBLE) * b.n / (a.n + b.n) * aggregate(
+        zip_with(a.sum, b.sum, (u, v) -> (v / b.n - u / a.n) * (v / b.n - u / a.n)), 0D, (u, v) -> u + v))"""
+
+
+def _merge_moments(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Joins rows `n, sum, ss, m2` of the same set pairwise, within slots of tasks and then over the slots."""
+    slotted = parts.withColumn("_slot", F.pmod(F.spark_partition_id(), F.lit(MERGE_SLOTS)))
+    joined = f"aggregate(slice(cells, 2, size(cells)), cells[0], (a, b) -> {_JOINED}) AS one"
+    for names in ([*keys, "_slot"], list(keys)):
+        lists = slotted.groupBy(*names).agg(F.collect_list(F.struct("n", "sum", "ss", "m2")).alias("cells"))
+        slotted = lists.selectExpr(*names, joined).select(*names, "one.*")
+    return slotted
 
 
 def cluster_group_sums(
@@ -63,9 +96,13 @@ def cluster_group_sums(
     strategy: str = "auto",
     point: str = "point",
     grp: str = "grp",
+    moments: bool = False,
 ) -> DataFrame:
     """`(by..., k, grp, n, sum, ss)` for the non-empty sets; `ss` is the sum of squared distances to the old center.
 
+    With `moments` there is also `m2`, the sum of squared distances to the set's
+    own mean. It comes from means and squares around them that are joined
+    pairwise, so it keeps its digits however far the points are from the centers.
     Small center sets stay in generated code. For others each task assigns and
     adds up its Arrow batches in one pass and returns only the sums.
     """
@@ -77,12 +114,14 @@ def cluster_group_sums(
     points = points.selectExpr(*by, f"`{point}` AS point", f"{group_text(grp)} AS grp")
     if strategy != "arrow":
         assigned = assign_nearest(points, rows, strategy)
-        return _merge_sums(assigned, keys, dims, {"n": "count(1)", "ss": "sum(dist2)"}, "point")
+        return _merge_sums(assigned, keys, dims, {"n": "count(1)", "ss": "sum(dist2)"}, "point", moments)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in points.select(*by).schema.fields]
-    schema = ", ".join([*fields, "k int, grp int, n bigint, `sum` array<double>, ss double"])
+    schema = ", ".join([*fields, "k int, grp int, n bigint, `sum` array<double>, ss double, m2 double"])
     partial = points.withColumn("point", F.col("point").cast("array<double>")).mapInArrow(
-        _batch_sums(rows, list(by)), schema
+        _batch_sums(rows, list(by), moments), schema
     )
+    if moments:
+        return _merge_moments(partial, keys)
     return _merge_sums(partial, keys, dims, {"n": "sum(n)", "ss": "sum(ss)"})
 
 
@@ -94,11 +133,18 @@ def add_up(matrix: np.ndarray, codes: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _batch_sums(rows: list[list[float]], by: list[str]):
+def squares_around_means(matrix: np.ndarray, codes: np.ndarray, n: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Per code the sum of squared distances of its rows to their mean."""
+    means = sums / np.maximum(n, 1)[:, None]
+    gaps = matrix - means[codes]
+    return np.bincount(codes, weights=(gaps * gaps).sum(axis=1), minlength=len(n))
+
+
+def _batch_sums(rows: list[list[float]], by: list[str], moments: bool):
     table = np.asarray(rows)
     k, dims = table.shape
 
-    def pack(by_columns, cell, n, sums, ss):
+    def pack(by_columns, cell, n, sums, ss, m2):
         flat = pa.array(sums.reshape(-1))
         offsets = pa.array(np.arange(0, len(sums) * dims + 1, dims, dtype=np.int32))
         arrays = [
@@ -108,8 +154,9 @@ def _batch_sums(rows: list[list[float]], by: list[str]):
             pa.array(n.astype(np.int64)),
             pa.ListArray.from_arrays(offsets, flat),
             pa.array(ss),
+            pa.array(m2),
         ]
-        return pa.RecordBatch.from_arrays(arrays, names=[*by, "k", "grp", "n", "sum", "ss"])
+        return pa.RecordBatch.from_arrays(arrays, names=[*by, "k", "grp", "n", "sum", "ss", "m2"])
 
     def measure(batch):
         matrix = matrix_of(batch.column("point"), dims)
@@ -120,15 +167,20 @@ def _batch_sums(rows: list[list[float]], by: list[str]):
         return matrix, dist2, index * GROUPS + grp.astype(np.int64)
 
     def whole(batches):
-        n, ss, sums = np.zeros(k * GROUPS), np.zeros(k * GROUPS), np.zeros((k * GROUPS, dims))
+        n, ss, sums, m2 = np.zeros(k * GROUPS), np.zeros(k * GROUPS), np.zeros((k * GROUPS, dims)), np.zeros(k * GROUPS)
         for batch in batches:
             if batch.num_rows:
                 matrix, dist2, cell = measure(batch)
-                n += np.bincount(cell, minlength=len(n))
+                here, added = np.bincount(cell, minlength=len(n)), add_up(matrix, cell, len(n))
+                if moments:
+                    gaps = added / np.maximum(here, 1)[:, None] - sums / np.maximum(n, 1)[:, None]
+                    between = n * here / np.maximum(n + here, 1) * (gaps * gaps).sum(axis=1)
+                    m2 += squares_around_means(matrix, cell, here, added) + between
+                n += here
                 ss += np.bincount(cell, weights=dist2, minlength=len(n))
-                sums += add_up(matrix, cell, len(n))
+                sums += added
         used = np.flatnonzero(n)
-        yield pack([], used, n[used], sums[used], ss[used])
+        yield pack([], used, n[used], sums[used], ss[used], m2[used])
 
     def keyed(batches):
         for batch in batches:
@@ -139,12 +191,14 @@ def _batch_sums(rows: list[list[float]], by: list[str]):
             segment = frame.groupby(by, dropna=False, sort=False).ngroup().to_numpy()
             _, first, codes = np.unique(segment * (k * GROUPS) + cell, return_index=True, return_inverse=True)
             size = len(first)
+            n, sums = np.bincount(codes, minlength=size), add_up(matrix, codes, size)
             yield pack(
                 [batch.column(c).take(pa.array(first)) for c in by],
                 cell[first],
-                np.bincount(codes, minlength=size),
-                add_up(matrix, codes, size),
+                n,
+                sums,
                 np.bincount(codes, weights=dist2, minlength=size),
+                squares_around_means(matrix, codes, n, sums) if moments else np.zeros(size),
             )
 
     return keyed if by else whole
@@ -179,7 +233,8 @@ def mean_vector(points: DataFrame, dims: int | None = None, by: Sequence[str] =
 def scatter_text(center: str) -> str:
     """Sum of squared distances to the own mean, from `ss`, that of the distances to `center`.
 
-    sum |x-m|^2 = sum |x-c|^2 - n |m-c|^2 needs no second pass over the points.
+    sum |x-m|^2 = sum |x-c|^2 - n |m-c|^2 needs no second pass over the points, but
+    loses digits where the means are far from the centers; `m2` does not.
     """
     gap = f"zip_with(sum, {center}, (s, c) -> (s / n - c) * (s / n - c))"
     return f"greatest(ss - n * aggregate({gap}, 0D, (u, v) -> u + v), 0D)"

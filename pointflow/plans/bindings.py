@@ -9,18 +9,21 @@ from pointflow.operators.assign import collect_centers
 from pointflow.operators.batches import batch_number
 from pointflow.operators.words import documents_as_lines
 from pointflow.sources.points import points_from_columns
+from pointflow.sources.table_stream import table_stream
 
 # the center set that the two-dimensional queries start from
 CENTERS = [[5.0, 1.0], [20.0, 9.0], [35.0, 2.0], [45.0, 8.0]]
 LLOYD_ROUNDS = 3
 FAIR_ROUNDS = 2
 WIDE_DIMS = 64
+# how far the points of the offset query are moved
+OFFSET = 1e6
 BLOBS = 7
 DAY_SECONDS = 86_400
 THRESHOLD = 2_500
-# rows of a file of the live stream, and the items after which it stops
-FILE_ROWS = 100
-FILE_THRESHOLD = 250
+# slices of the live stream, and the share of its items after which it stops
+LIVE_SLICES = 10
+LIVE_SHARE = 4
 LINE_KEYS = ["doc_id", "line"]
 
 
@@ -68,6 +71,13 @@ def doc_lines(spark: SparkSession, folder: str) -> DataFrame:
     return documents_as_lines(table(spark, folder, "documents"))
 
 
+def live_events(spark: SparkSession, folder: str, *columns: str) -> tuple[DataFrame, int, int]:
+    """The events as a stream of slices, with the number of all rows and that of a slice; event ids count from 0."""
+    n = table(spark, folder, "events").count()
+    step = max(1, -(-n // LIVE_SLICES))
+    return table_stream(spark, f"{folder}/events.parquet", columns, step), n, step
+
+
 def event_items(spark: SparkSession, folder: str) -> DataFrame:
     """`(batch, item)`: user ids with the number of the day they came on."""
     return table(spark, folder, "events").select(

@@ -12,7 +12,7 @@ from pointflow.operators import assign, batches, fair, kmeans, metrics, partials
 from pointflow.plans import bindings as b
 from pointflow.session import scratch_folder
 from pointflow.sources import blobs, items, points
-from pointflow.streaming import distinct
+from pointflow.streaming import distinct, faults, running
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -239,7 +239,7 @@ def mean_vector(spark, folder):
 
 def _models(spark, folder, by=(), selection="population"):
     rows = b.points2(spark, folder, *[F.col("l_suppkey").alias(c) for c in by])
-    sums = partials.cluster_group_sums(rows, b.CENTERS, by)
+    sums = partials.cluster_group_sums(rows, b.CENTERS, by, moments=True)
     return fair.fair_models(sums, b.CENTERS, by, selection)
 
 
@@ -255,10 +255,23 @@ def group_mean_gap(spark, folder):
 
 @query
 def group_scatter(spark, folder):
-    sums = partials.cluster_group_sums(b.points2(spark, folder), b.CENTERS)
+    sums = partials.cluster_group_sums(b.points2(spark, folder), b.CENTERS, moments=True)
     return fair.group_scatter(sums, b.CENTERS).select(*rounded("delta_a", "delta_b"))
 
 
+@query
+def group_scatter_offset(spark, folder):
+    """Points a million away from the only center, per line status, by generated code and by Arrow."""
+    rows = b.points2(spark, folder, F.col("l_linestatus").alias("segment"))
+    rows = rows.withColumn("point", F.transform("point", lambda v: v + b.OFFSET))
+    found = []
+    for strategy in ("unrolled", "arrow"):
+        sums = partials.cluster_group_sums(rows, [[0.0, 0.0]], ["segment"], strategy, moments=True)
+        scatter = fair.group_scatter(sums, [[0.0, 0.0]], ["segment"])
+        found.append(scatter.select("segment", F.lit(strategy).alias("strategy"), *rounded("delta_a", "delta_b")))
+    return found[0].union(found[1])
+
+
 # --- k-means and fair centers
 
 
@@ -509,6 +522,13 @@ def stream_summary(spark, folder):
 
 @query
 def stream_threshold_replay(spark, folder):
+    taken = batches.taken_events(b.table(spark, folder, "events"), b.THRESHOLD, "ts", b.DAY_SECONDS)
+    return batches.item_summary(taken.select(F.col("user_id").alias("item")))
+
+
+@query
+def stream_threshold_batches(spark, folder):
+    """The same cut for items that carry a batch number and no time."""
     return batches.item_summary(batches.taken_until(b.event_items(spark, folder), b.THRESHOLD))
 
 
@@ -527,13 +547,48 @@ def stream_batches(spark, folder):
     return distinct.run_batches(_event_stream(spark, folder), scratch_folder(spark, "batches")).summary()
 
 
+def _live_items(spark, folder):
+    stream, n, step = b.live_events(spark, folder, "user_id")
+    return items.parse_items(stream.select(F.col("user_id").cast("string").alias("value"))), n, step
+
+
 @query
 def stream_threshold_live(spark, folder):
-    """A live stream of equal files, stopped by its threshold: the crossing batch counts whole."""
-    path = scratch_folder(spark, "events")
-    rows = b.table(spark, folder, "events").select("user_id").coalesce(1)
-    rows.write.option("maxRecordsPerFile", b.FILE_ROWS).parquet(f"{path}/events.parquet")
-    stream = items.stream_table(spark, path, "events", files_per_batch=1)
-    parsed = items.parse_items(stream.select(F.col("user_id").cast("string").alias("value")))
-    tables = distinct.run_batches(parsed, scratch_folder(spark, "batches"), b.FILE_THRESHOLD)
+    """A live stream of equal slices, stopped by its threshold: the crossing batch counts whole."""
+    parsed, n, _ = _live_items(spark, folder)
+    threshold = max(1, -(-n // b.LIVE_SHARE))
+    tables = distinct.run_batches(parsed, scratch_folder(spark, "batches"), threshold, interval=distinct.BATCH_INTERVAL)
     return tables.summary().select("processed", tables.sizes().agg(F.count("*")).scalar().alias("n_batches"))
+
+
+@query
+def stream_empty_batches(spark, folder):
+    """Every other slice loses all its items: such a batch has a number, but no size, and moves no total."""
+    stream, _, step = b.live_events(spark, folder, "event_id", "user_id")
+    even = F.floor(F.col("event_id") / step) % 2 == 0
+    taken = stream.where(even).select(F.col("user_id").alias("item"))
+    tables = distinct.run_batches(taken, scratch_folder(spark, "batches"), interval=distinct.BATCH_INTERVAL)
+    empty = tables.empty_batches().agg(F.count("*")).scalar()
+    return tables.log().select("batch_id", "n", "seen", empty.alias("n_empty"))
+
+
+@query
+def stream_batches_replayed(spark, folder):
+    """A batch that came twice in part and one that came twice whole, after restarts from the checkpoint."""
+    parsed, _, _ = _live_items(spark, folder)
+    broken = faults.Faults([("items", 1), ("mark", 2)])
+    tables = faults.run_through(parsed, scratch_folder(spark, "batches"), broken)
+    return tables.summary().select(
+        "*",
+        tables.sizes().agg(F.count("*")).scalar().alias("n_batches"),
+        F.lit(len(broken.raised)).alias("n_faults"),
+        F.lit(len(broken.delivered)).cast("bigint").alias("n_delivered"),
+    )
+
+
+@query
+def stream_running_distinct(spark, folder):
+    """How many items each slice brought that were not seen before, and all up to it."""
+    stream, _, step = b.live_events(spark, folder, "event_id", "user_id")
+    numbered = stream.select(F.col("user_id").alias("item"), F.floor(F.col("event_id") / step).alias("batch"))
+    return running.running_distinct(numbered, scratch_folder(spark, "running"))

@@ -230,6 +230,9 @@ running AS (
 SUMMARY = "SELECT count(*) AS processed, count(DISTINCT item) AS n_distinct, max(item) AS largest"
 
 
+LIVE = f"live AS (SELECT count(*) AS n, greatest(1, ceil(count(*) / {b.LIVE_SLICES}::DOUBLE))::BIGINT AS step FROM events)"
+
+
 def _unit(stream: str, ident: str, start: int) -> str:
     digest = f"md5('{SEED}:{stream}:' || CAST({ident} AS VARCHAR))"
     return f"((CAST('0x' || substr({digest}, {start}, 12) AS BIGINT) + CAST(0.5 AS DOUBLE)) / {_num(2.0**48)})"
@@ -315,6 +318,11 @@ FROM points GROUP BY l_linestatus""",
     "group_mean_gap": _with(*_ONE) + "SELECT k, round(ell, 6) AS ell FROM stats",
     "group_scatter": _with(*_ONE)
     + "SELECT round(fixed_a, 6) AS delta_a, round(fixed_b, 6) AS delta_b FROM stats_fixed",
+    "group_scatter_offset": _with(POINTS)
+    + f"""SELECT segment, strategy, round(delta_a, 6) AS delta_a, round(delta_b, 6) AS delta_b
+FROM (SELECT l_linestatus AS segment, coalesce(var_pop(x + {_num(b.OFFSET)}) FILTER (WHERE grp = 0) + var_pop(y + {_num(b.OFFSET)}) FILTER (WHERE grp = 0), 0) AS delta_a,
+             coalesce(var_pop(x + {_num(b.OFFSET)}) FILTER (WHERE grp = 1) + var_pop(y + {_num(b.OFFSET)}) FILTER (WHERE grp = 1), 0) AS delta_b
+      FROM points GROUP BY l_linestatus), (SELECT unnest(['unrolled', 'arrow']) AS strategy)""",
     "lloyd_rounds": _with(POINTS, _center_row("c0", b.CENTERS), *_lloyd(b.LLOYD_ROUNDS))
     + _unpivot(f"lc{b.LLOYD_ROUNDS}"),
     "fair_stats": _with(*_SEGMENT)
@@ -373,6 +381,8 @@ WHERE regexp_full_match(v, '[+-]?[0-9]+')""",
     "stream_summary": _with(DAYS) + f"{SUMMARY} FROM items",
     "stream_threshold_replay": _with(DAYS, SIZES)
     + f"{SUMMARY} FROM items WHERE batch IN (SELECT batch FROM running WHERE n_before < {b.THRESHOLD})",
+    "stream_threshold_batches": _with(DAYS, SIZES)
+    + f"{SUMMARY} FROM items WHERE batch IN (SELECT batch FROM running WHERE n_before < {b.THRESHOLD})",
     "stream_distinct": "SELECT DISTINCT user_id AS item FROM events",
     "stream_batches": _with(DAYS) + f"{SUMMARY} FROM items",
     "gen_blobs_shuffled": GEN_BLOBS,
@@ -388,7 +398,20 @@ FROM d GROUP BY 1, 2""",
     "fair_lloyd_auto_far": FAR_CENTERS,
     "kmeans_fit_facts": """SELECT 12 AS k, CAST(count(DISTINCT l_linenumber) AS INTEGER) AS k_effective, count(*) AS n, 0.0::DOUBLE AS delta
 FROM lineitem""",
-    "stream_threshold_live": f"""SELECT least(n, ceil({b.FILE_THRESHOLD} / {b.FILE_ROWS}::DOUBLE) * {b.FILE_ROWS})::BIGINT AS processed,
-       least(ceil(n / {b.FILE_ROWS}::DOUBLE), ceil({b.FILE_THRESHOLD} / {b.FILE_ROWS}::DOUBLE))::BIGINT AS n_batches
-FROM (SELECT count(*) AS n FROM events)""",
+    "stream_threshold_live": f"""WITH {LIVE}
+SELECT least(n, ceil(taken / step::DOUBLE) * step)::BIGINT AS processed, ceil(taken / step::DOUBLE)::BIGINT AS n_batches
+FROM (SELECT *, greatest(1, ceil(n / {b.LIVE_SHARE}::DOUBLE))::BIGINT AS taken FROM live)""",
+    "stream_empty_batches": f"""WITH {LIVE},
+slices AS (SELECT event_id // step AS batch_id, count(*) AS n FROM events, live GROUP BY ALL)
+SELECT batch_id, n, CAST(sum(n) OVER (ORDER BY batch_id) AS BIGINT) AS seen,
+       (SELECT count(*) FROM slices WHERE batch_id % 2 = 1) AS n_empty
+FROM slices WHERE batch_id % 2 = 0""",
+    "stream_batches_replayed": f"""WITH {LIVE}
+SELECT count(*) AS processed, count(DISTINCT user_id) AS n_distinct, max(user_id) AS largest,
+       ceil(any_value(n) / any_value(step)::DOUBLE)::BIGINT AS n_batches, 2 AS n_faults,
+       ceil(any_value(n) / any_value(step)::DOUBLE)::BIGINT + 2 AS n_delivered
+FROM events, live""",
+    "stream_running_distinct": f"""WITH {LIVE},
+firsts AS (SELECT min(event_id) // any_value(step) AS batch FROM events, live GROUP BY user_id)
+SELECT batch, count(*) AS n_new, CAST(sum(count(*)) OVER (ORDER BY batch) AS BIGINT) AS n_distinct FROM firsts GROUP BY batch""",
 }

@@ -8,11 +8,11 @@ driver, so a restarted query goes on where the last one was committed.
 from __future__ import annotations
 
 import threading
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -25,6 +25,8 @@ BATCH_INTERVAL = "100 milliseconds"
 # closed batches that share a folder in the end
 MERGE_EVERY = 500
 SIZES = "n bigint, seen bigint, at timestamp"
+# called with a place in the loop and a batch number, see `faults`
+Hook = Callable[[str, int], None]
 
 
 @contextmanager
@@ -116,11 +118,17 @@ class BatchTables:
     Every MERGE_EVERY batches the closed ones before are merged into one folder
     of a block, and their own folders dropped. A block counts once its sizes are
     there, and from then on whatever is left of its batches does not.
+
+    A batch is two jobs: its items, whose number is observed as they are written,
+    and its mark. The running total of the batch before is remembered, and read
+    from its mark where it is not known, as after a restart.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, item: str = "item"):
+    def __init__(self, spark: SparkSession, folder: str, item: str = "item", hook: Hook | None = None):
         self.spark, self.folder, self.item = spark, folder.rstrip("/"), item
         self._items = f"`{item}` bigint, cnt bigint"
+        self._hook = hook or (lambda place, number: None)
+        self._last: tuple[int, int] | None = None
 
     def _part(self, table: str, number: int) -> str:
         return f"{self.folder}/{table}/batch_id={number}"
@@ -163,11 +171,14 @@ class BatchTables:
         """Items counted up to the batch before, from that batch's committed row alone."""
         if number == 0:
             return 0
+        if self._last and self._last[0] == number - 1:
+            return self._last[1]
         path = self._part("sizes", number - 1)
         if not folder_exists(self.spark, path):
             path = self._block("sizes", (number - 1) // MERGE_EVERY)
-            return self.spark.read.parquet(path).where(F.col("batch_id") == number - 1).first()["seen"]
-        return self.spark.read.parquet(path).first()["seen"]
+            marks = self.spark.read.schema(f"{SIZES}, batch_id bigint").parquet(path)
+            return marks.where(F.col("batch_id") == number - 1).first()["seen"]
+        return self.spark.read.schema(SIZES).parquet(path).first()["seen"]
 
     def write(self, batch: DataFrame, number: int, threshold: int | None = None) -> int:
         """Store one batch, or an empty mark if the threshold was reached before it; returns the running total."""
@@ -175,13 +186,15 @@ class BatchTables:
         taken = threshold is None or before < threshold
         n = 0
         if taken:
-            path = self._part("items", number)
-            counts = batch.groupBy(self.item).agg(F.count(F.lit(1)).alias("cnt"))
-            counts.write.mode("overwrite").parquet(path)
-            n = self.spark.read.schema(counts.schema).parquet(path).agg(F.sum("cnt")).first()[0] or 0
+            seen = Observation()
+            counted = batch.select(self.item).observe(seen, F.count(F.lit(1)).alias("n"))
+            counts = counted.groupBy(self.item).agg(F.count(F.lit(1)).alias("cnt"))
+            counts.write.mode("overwrite").parquet(self._part("items", number))
+            n = seen.get["n"]
         else:
             # what an earlier attempt with a higher threshold wrote
             drop_folder(self.spark, self._part("items", number))
+        self._hook("items", number)
         mark = self.spark.range(1).select(
             F.lit(n).cast("bigint").alias("n"),
             F.lit(before + n).cast("bigint").alias("seen"),
@@ -189,6 +202,8 @@ class BatchTables:
         )
         # the mark comes last: a batch counts as done once its row is there
         mark.coalesce(1).write.mode("overwrite").parquet(self._part("sizes", number))
+        self._last = (number, before + n)
+        self._hook("mark", number)
         if number % MERGE_EVERY == 0 and number:
             self._merge(number // MERGE_EVERY - 1)
         return before + n
@@ -198,8 +213,12 @@ class BatchTables:
         return self.log().select("batch_id", "n")
 
     def log(self) -> DataFrame:
-        """`(batch_id, at, n)`: also the time at which a batch was written."""
-        return self._read("sizes", SIZES).where("n > 0").select("batch_id", "at", "n")
+        """`(batch_id, at, n, seen)`: also the time at which a batch was written, and the items up to it."""
+        return self._read("sizes", SIZES).where("n > 0").select("batch_id", "at", "n", "seen")
+
+    def empty_batches(self) -> DataFrame:
+        """`batch_id, seen` of the batches that had no items, which have no row in `sizes`."""
+        return self._read("sizes", SIZES).where("n = 0").select("batch_id", "seen")
 
     def counts(self) -> DataFrame:
         """`(item, cnt)` over all batches."""
@@ -217,14 +236,16 @@ def start_batches(
     threshold: int | None = None,
     item: str = "item",
     interval: str | None = BATCH_INTERVAL,
+    hook: Hook | None = None,
 ) -> tuple[StreamingQuery, BatchTables, threading.Event]:
     """Start the micro-batch loop; the event is set once the threshold is reached.
 
-    `interval=None` processes what is there now and ends by itself.
+    `interval=None` processes what is there now and ends by itself. `hook` is
+    called after the items and after the mark of each batch.
     """
     if threshold is not None and threshold < 1:
         raise ValueError("threshold must be positive")
-    tables = BatchTables(stream.sparkSession, folder, item)
+    tables = BatchTables(stream.sparkSession, folder, item, hook)
     reached = threading.Event()
 
     def process(batch: DataFrame, number: int) -> None:
@@ -251,9 +272,16 @@ def run_batches(
     item: str = "item",
     interval: str | None = None,
     poll_seconds: float = 0.2,
+    hook: Hook | None = None,
 ) -> BatchTables:
-    """Process until the threshold is reached or the input ends, then stop without draining the rest."""
-    query, tables, reached = start_batches(stream, folder, threshold, item, interval)
+    """Process until the threshold is reached or the input ends, then stop without draining the rest.
+
+    With an interval and no threshold the query stops once it has found nothing new.
+    """
+    query, tables, reached = start_batches(stream, folder, threshold, item, interval, hook)
+    if interval and threshold is None:
+        query.processAllAvailable()
+        query.stop()
     while query.isActive and not reached.wait(poll_seconds):
         pass
     if reached.is_set():

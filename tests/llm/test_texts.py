@@ -1,6 +1,7 @@
 """Quality, licenses, HTML, URLs, languages, mixing and BPE."""
 
 import random
+import time
 import unicodedata
 from collections import Counter
 
@@ -235,6 +236,93 @@ def test_html_survives_anything():
     assert html_layout.visible_text("<div>" * 20000 + "x") == "x"
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<p>x<![endif--><p>y", "x\n\ny"),
+        ("<![if-IE]>a<![foo[>b<!doctype html>c<?php d>e", "abce"),
+        ("<![ b", ""),
+        ("a<!-->b<!--->c<!-- d --!>e<!-- f", "abce"),
+        ("a </> b </ c> d </", "a b d </"),
+        ("&#65;&#0000065;&#x00041;&#" + "9" * 5000 + ";&amp;&nosuch;", "AAA\ufffd&&nosuch;"),
+        ("<table><td colspan=" + "9" * 5000 + ">q<td>r", "q  r"),
+        ("<svg><title>t</title><desc>d</desc><style>s</style>loose<text x=1>one<tspan> two</tspan></text><text>three</text></svg>four", "one two\nthree\nfour"),
+        ("a <b c='>' d=\">\" e=f>g</b h='>'> i", "a g i"),
+        ("<textarea>x <b>&lt;</textarea>y<title>z</title>", "x <b><y"),
+        ("x<a href='unclosed", "x"),
+        ("<p HIDDEN hidden=x>a<p Style='display:none' style=''>b<p>c", "c"),
+    ],
+)
+def test_html_of_odd_pages(html, text):
+    assert html_layout.visible_text(html) == text
+
+
+def test_html_takes_any_input_in_linear_time():
+    rng = random.Random(6)
+    parts = ["<!", "<!--", "-->", "<![", "]]>", "<?", "</", "<", ">", "&#", "&#x", "9" * 40, "0" * 30, "f", ";", "'", '"', "=", "<a ", "<td colspan=", "<td rowspan=", "<table>", "<svg>", "<text>", "<title>", "</title>", "<script>", "x ", "\0", "<p>", "<li value=", "<ol start="]
+    for _ in range(500):
+        html_layout.visible_text("".join(rng.choice(parts) for _ in range(40)))
+    pages = ["<a ", "<!--", "<b>", "<table><tr><td>x", "<ul><li>x", "<b>x</b> ", "<title>", '<a b="', "</", "&", "<td colspan=999 rowspan=999>x", "<svg><text>"]
+    for part in [*pages, "<p><table><td>" + "<b>" * 3000 + "<div>"]:
+        start = time.perf_counter()
+        out = html_layout.visible_text("<table><tr>" + part * (200_000 // len(part)))
+        assert time.perf_counter() - start < 20 and len(out) < 20 * 200_000
+
+
+def plain_text(node, lines, visible=True):
+    """The lines of a small tree, by recursion: blocks, list items, line breaks, hidden parts."""
+    tag, attr, children = node
+    block = tag in ("div", "p", "ul", "li")
+    if block:
+        lines.append("")
+    for child in children:
+        if isinstance(child, str):
+            if visible:
+                lines[-1] += child
+        elif child[0] == "br":
+            lines[-1] += "\n"
+        elif "hidden" not in child[1] and child[0] not in ("script", "style"):
+            plain_text(child, lines, visible)
+    if block:
+        lines.append("")
+
+
+def test_html_equals_a_plain_renderer():
+    rng = random.Random(7)
+
+    def tree(depth):
+        tag = rng.choice(["div", "span", "b", "ul", "li", "p"])
+        attr = rng.choice(["", "", "", "hidden"])
+        leaf = lambda: rng.choice(["one ", " two", "&lt;", "  ", ("br", "", []), ("script", "", ["if (a<b) x"])])
+        return tag, attr, [tree(depth - 1) if depth and rng.random() < 0.6 else leaf() for _ in range(rng.randrange(5))]
+
+    def html(node):
+        if isinstance(node, str):
+            return node
+        tag, attr, children = node
+        return f"<{tag} {attr}>" + "".join(map(html, children)) + ("" if tag == "br" else f"</{tag}>")
+
+    def inside(node, tags):
+        return not isinstance(node, str) and any(not isinstance(c, str) and (c[0] in tags or inside(c, tags)) for c in node[2])
+
+    tried = 0
+    while tried < 400:
+        root = ("div", "", [tree(4) for _ in range(3)])
+        # a paragraph ends where a block begins, an item where the next one does: those trees come apart
+        bad = lambda n: not isinstance(n, str) and ((n[0] == "p" and inside(n, BLOCK)) or (n[0] == "li" and inside(n, {"li"})) or any(map(bad, n[2])))
+        if bad(root):
+            continue
+        tried += 1
+        lines = [""]
+        plain_text(root, lines)
+        want = [" ".join(part.replace("&lt;", "<").split()) for line in lines for part in line.split("\n")]
+        got = [" ".join(line.strip().removeprefix("- ").split()) for line in html_layout.visible_text(html(root)).split("\n")]
+        assert [x for x in got if x and x != "-"] == [x for x in want if x], html(root)
+
+
+BLOCK = {"div", "p", "ul", "li"}
+
+
 def test_html_frame(spark):
     frame = spark.createDataFrame([(1, "u", "<p>a"), (1, "u", "<p>a"), (2, None, None)], "page_id bigint, url string, html string")
     out = html_layout.extract_text(frame)
