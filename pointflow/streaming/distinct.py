@@ -187,8 +187,9 @@ class BatchTables:
         n = 0
         if taken:
             seen = Observation()
-            counted = batch.select(self.item).observe(seen, F.count(F.lit(1)).alias("n"))
-            counts = counted.groupBy(self.item).agg(F.count(F.lit(1)).alias("cnt"))
+            counts = batch.groupBy(self.item).agg(F.count(F.lit(1)).alias("cnt"))
+            # above the aggregate, where adaptive execution leaves it also if there are no items
+            counts = counts.observe(seen, F.coalesce(F.sum("cnt"), F.lit(0)).alias("n"))
             counts.write.mode("overwrite").parquet(self._part("items", number))
             n = seen.get["n"]
         else:
