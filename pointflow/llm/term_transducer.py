@@ -44,6 +44,9 @@ BILLION = 1_000_000_000
 MAX_KEY_BYTES = 8 << 20
 # counted terms that a task holds before it hands them on
 HELD_TERMS = 1 << 18
+# counted ordinals that a task holds, in 16 bytes each; ordinals are fewer than the bytes of all keys
+HELD_CELLS = 1 << 20
+ORDINAL_BITS = 40
 # a tile is two blocks of about so many sources over so many ordinals
 BLOCK_SOURCES = 128
 BLOCK_TERMS = 1024
@@ -225,22 +228,54 @@ def _built(batches):
     yield pa.RecordBatch.from_pydict({"parts": pa.array([pack(build_transducer(keys))], pa.list_(pa.binary()))})
 
 
+class Tallies:
+    """Counts of (group, ordinal), held as sorted arrays of at most HELD_CELLS cells."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.cells = 0
+
+    def add(self, group: np.ndarray, ordinal: np.ndarray) -> None:
+        cell, n = np.unique(group << ORDINAL_BITS | ordinal, return_counts=True)
+        self.parts.append((cell, n))
+        self.cells += len(cell)
+
+    def full(self) -> bool:
+        """Whether there are too many cells, equal ones added up, to go on."""
+        if self.cells <= HELD_CELLS:
+            return False
+        self.parts = [self.merged()]
+        self.cells = len(self.parts[0][0])
+        return self.cells > HELD_CELLS // 2
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        empty = np.empty(0, dtype=np.int64)
+        cell, n = (np.concatenate([empty, *x]) for x in zip(*self.parts)) if self.parts else (empty, empty)
+        order = np.argsort(cell, kind="stable")
+        cell = cell[order]
+        heads = np.flatnonzero(np.diff(cell, prepend=-1))
+        return cell[heads], np.add.reduceat(n[order], heads) if len(heads) else empty
+
+
 def _recount(shared):
     """Counts per language, source and ordinal of a task's texts, and a row without ordinal for every group seen."""
 
-    def emit(counts):
-        rows = [(*group, ordinal, n) for group, tally in counts.items() for ordinal, n in [(None, 0), *tally.items()]]
-        lang, source, ordinal, n = zip(*rows) if rows else ((), (), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(source, pa.string()), pa.array(ordinal, pa.int64()), pa.array(n, pa.int64())],
-            names=["lang", "source", "ordinal", "n"],
-        )
+    def emit(groups, told, tallies):
+        cell, n = tallies.merged()
+        fresh = np.arange(told, len(groups))
+        group = np.concatenate([fresh, cell >> ORDINAL_BITS])
+        ordinal = np.concatenate([fresh, cell & ((1 << ORDINAL_BITS) - 1)])
+        names = [pa.array([g[i] for g in groups], pa.string()).take(pa.array(group)) for i in (0, 1)]
+        known = np.arange(len(group)) < len(fresh)
+        counts = np.concatenate([np.zeros(len(fresh), dtype=np.int64), n])
+        return pa.RecordBatch.from_arrays([*names, pa.array(ordinal, mask=known), pa.array(counts)], names=["lang", "source", "ordinal", "n"])
 
     def run(batches):
         transducer = unpack(shared.value)
         entry: dict[str, tuple | None] = {}
-        counts: dict[tuple, Counter] = {}
-        held = 0
+        # groups of the task in the order in which they were met, and how many of them were told
+        number: dict[tuple, int] = {}
+        told, tallies = 0, Tallies()
         for batch in batches:
             langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
             row = 0
@@ -250,46 +285,39 @@ def _recount(shared):
                 for lang, _ in groups:
                     if lang not in entry:
                         entry[lang] = transducer.walk(key_of(lang))
-                names = list(dict.fromkeys(groups))
-                number = {g: i for i, g in enumerate(names)}
+                own = np.array([number.setdefault(g, len(number)) for g in groups], dtype=np.int64)
                 raw = [t.encode("utf-8", "replace") for t in texts]
                 text = b" ".join(raw).translate(_TABLE)
-                data = np.frombuffer(text, dtype=np.uint8)
-                inside = data != 32
+                inside = np.frombuffer(text, dtype=np.uint8) != 32
                 starts = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
                 first = np.cumsum([0, *(len(t) + 1 for t in raw)])[:-1]
                 doc = np.searchsorted(first, starts, side="right") - 1
-                owner = np.array([number[g] for g in groups])[doc] if len(doc) else np.empty(0, dtype=np.int64)
-                who, which = stream_ordinals(transducer, text, starts, owner, [entry[g[0]] for g in names])
-                order = np.lexsort((which, who))
-                who, which = who[order], which[order]
-                new = np.flatnonzero(np.diff(who, prepend=-1) | np.diff(which, prepend=-1))
-                times = np.diff([*new, len(who)])
-                for g in names:
-                    counts.setdefault(g, Counter())
-                for i, o, n in zip(who[new].tolist(), which[new].tolist(), times.tolist()):
-                    tally = counts[names[i]]
-                    held += o not in tally
-                    tally[o] += n
-                if held > HELD_TERMS:
-                    yield emit(counts)
-                    counts, held = {}, 0
-        yield emit(counts)
+                who, which = stream_ordinals(transducer, text, starts, doc, [entry[g[0]] for g in groups])
+                tallies.add(own[who], which)
+                if tallies.full():
+                    yield emit(list(number), told, tallies)
+                    told, tallies = len(number), Tallies()
+        yield emit(list(number), told, tallies)
 
     return run
 
 
 def _ordinals(shared):
-    """The ordinals of kept terms."""
+    """The ordinals of kept terms, all terms of a batch at once."""
 
     def run(batches):
         transducer = unpack(shared.value)
+        entry: dict[str, tuple | None] = {}
         for batch in batches:
-            found = [transducer.walk(key) for key in batch.column("key").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), batch.column("term"), pa.array([f[1] for f in found], pa.int64())],
-                names=["lang", "term", "ordinal"],
-            )
+            langs, terms = (batch.column(c).to_pylist() for c in ("lang", "term"))
+            for lang in set(langs) - set(entry):
+                entry[lang] = transducer.walk(key_of(lang))
+            raw = [t.encode("utf-8") for t in terms]
+            starts = np.cumsum([0, *(len(t) + 1 for t in raw)])[:-1]
+            who, which = stream_ordinals(transducer, b" ".join(raw), starts, np.arange(len(raw)), [entry[x] for x in langs])
+            ordinal = np.empty(len(raw), dtype=np.int64)
+            ordinal[who] = which
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("term"), pa.array(ordinal)], names=["lang", "term", "ordinal"])
 
     return run
 
@@ -305,7 +333,7 @@ def count_kept(scratch: Scratch, docs: DataFrame, kept: DataFrame, max_key_bytes
         # without any key there is no task
         parts = [bytes(p) for p in built["parts"]] if built else pack(build_transducer(()))
         shared = docs.sparkSession.sparkContext.broadcast(parts)
-        vocabulary = scratch.keep(keyed.mapInArrow(_ordinals(shared), "lang string, term string, ordinal long"), "vocabulary")
+        vocabulary = scratch.keep(keyed.select("lang", "term").mapInArrow(_ordinals(shared), "lang string, term string, ordinal long"), "vocabulary")
         found = docs.mapInArrow(_recount(shared), "lang string, source string, ordinal long, n long")
         return vocabulary, scratch.keep(found.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n")), "counts")
     # ranges of terms are numbered one after the other, and ranges are as many as partitions
