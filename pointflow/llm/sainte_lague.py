@@ -3,7 +3,8 @@
 Sources share the mix by weight, none above `repeats` times its own size; what
 a capped source leaves is shared again among the others. Blocks of BLOCK_WORDS
 words are given to sources by the highest quotients target / (2 n + 1), and a
-source's blocks in the same way to its shards, by shard size. A shard lays its
+source's blocks in the same way to its shards, by shard size; where a source has
+very many, first to groups of them, so that no task deals to all. A shard lays its
 documents end to end in a seeded order, closes that line to a ring, and takes
 its quota of blocks from a seeded start; a quota above the ring's length goes
 round again, so a word is taken at most `repeats` times. The last block of a
@@ -13,10 +14,14 @@ dealt on as further blocks.
 Highest quotients are what rounding target / d gives for the right divisor d,
 so d is found by bisection and only ties are dealt one by one.
 
+Rows are written once with a number. All dealing and laying works on numbers and
+sizes; the texts of the documents taken are joined to them at the end.
+
 Defined results: a NULL text has no words. A document without words is never
 taken. Sources are ordered by code point, a NULL source last, and take their
 weights from that order. With no words at all every target is 0. Repeated rows
-are documents of their own. An empty table gives an empty result.
+are documents of their own, a NULL id is spread by its text. An empty table
+gives an empty result. Other columns are carried along whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +40,8 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 BLOCK_WORDS = 16
 # documents of a shard, which bounds the rows that one task sorts
 SHARD_DOCS = 2048
+# shards of a group, whose quotas one task deals
+GROUP_SHARDS = 4096
 # sources are listed on the driver, like their weights; more are refused
 MAX_SOURCES = 1_000_000
 
@@ -112,16 +119,30 @@ def dealt_words(votes: Sequence[float], limits: Sequence[int], block: int, total
     return dealt(high)
 
 
-def _shard_quotas(block: int, repeats: int):
-    def run(shards: pd.DataFrame) -> pd.DataFrame:
-        shards = shards.sort_values("shard")
-        sizes = shards["words"].to_numpy()
-        take = dealt_words(sizes, repeats * sizes, block, int(shards["quota"].iloc[0]), 0)
-        return pd.DataFrame({"place": shards["place"], "shard": shards["shard"], "words": sizes, "take": take})
+def _quotas(key: str, block: int, repeats: int):
+    """Deals the `quota` of the rows' group to its rows by their words."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by(key)
+        words = rows.column("words").to_numpy()
+        take = dealt_words(words, repeats * words, block, rows.column("quota")[0].as_py(), 0)
+        return rows.drop_columns("quota").append_column("take", pa.array(take, pa.int64()))
 
     return run
 
 
+def _dealt(sums: DataFrame, sources: DataFrame, block: int, repeats: int) -> DataFrame:
+    """`place, shard, words, take` from `place, team, shard, words`: quotas of sources go to teams of shards, then to shards."""
+    teams = sums.groupBy("place", "team").agg(F.sum("words").alias("words"))
+    teams = teams.join(F.broadcast(sources.select("place", "quota")), "place").groupBy("place")
+    teams = teams.applyInArrow(_quotas("team", block, repeats), "place int, team long, words long, take long")
+    shards = sums.join(teams.select("place", "team", F.col("take").alias("quota")), ["place", "team"])
+    shards = shards.groupBy("place", "team").applyInArrow(
+        _quotas("shard", block, repeats), "place int, team long, shard long, words long, take long"
+    )
+    return shards.select("place", "shard", "words", "take")
+
+
 def mix_pieces(
     docs: DataFrame,
     weights: Sequence[float] = (3, 1, 2),
@@ -133,26 +154,46 @@ def mix_pieces(
     source: str = "source",
     block_words: int = BLOCK_WORDS,
     shard_docs: int = SHARD_DOCS,
-    carry: Sequence[str] = (),
+    group_shards: int = GROUP_SHARDS,
 ) -> DataFrame:
-    """Per row of `docs`: `id, size, source_size, target, pieces`, and `doc`, a struct of the carried columns.
+    """Per row of `docs`: `id, source, size, source_size, target, pieces`.
 
     `pieces` lists the runs of words that the mix takes, as (first word from 0,
     words); a document that goes into the mix twice has two of them. The mix has
     `share` times the words of all documents.
     """
-    need_columns(docs, ident, text, source, *carry)
+    need_columns(docs, ident, text, source)
     scratch = Scratch(docs.sparkSession, "mix")
-    doc = F.struct(*carry) if carry else F.struct(F.lit(0).alias("none"))
-    rows = docs.select(
-        F.col(ident).alias("id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), doc.alias("doc")
+    rows = scratch.keep(_sized(docs, ident, text, source), "sizes")
+    pieces = _pieces(scratch, rows, weights, share, repeats, seed, block_words, shard_docs, group_shards)
+    return pieces.select("id", "source", "size", "source_size", "target", "pieces")
+
+
+def _sized(docs: DataFrame, ident: str, text: str, source: str, *more: Column) -> DataFrame:
+    """What the mix needs of a row, under a number that holds once it is written."""
+    return docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(ident).alias("id"),
+        F.xxhash64(F.lit(0), text).alias("mark"),
+        F.col(source).alias("source"),
+        word_count(F.col(text)).alias("size"),
+        *more,
     )
-    small = rows.select("id", "source", "size")
-    if not carry:
-        rows = small = scratch.keep(small, "sizes")
-        rows = rows.withColumn("doc", doc)
 
-    per_source = small.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("docs"))
+
+def _pieces(
+    scratch: Scratch,
+    rows: DataFrame,
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    repeats: int = 2,
+    seed: int = 42,
+    block_words: int = BLOCK_WORDS,
+    shard_docs: int = SHARD_DOCS,
+    group_shards: int = GROUP_SHARDS,
+) -> DataFrame:
+    """`row, id, source, size, source_size, target, pieces` for `rows(row, id, mark, source, size)`."""
+    per_source = rows.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("docs"))
     listed = per_source.limit(MAX_SOURCES + 1).collect()
     if len(listed) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -166,26 +207,24 @@ def mix_pieces(
         (r["source"], i, int(r["words"]), float(target[i]), int(quota[i]), max(1, -(-r["docs"] // shard_docs)))
         for i, r in enumerate(listed)
     ]
-    spark = docs.sparkSession
-    sources = spark.createDataFrame(
+    sources = scratch.spark.createDataFrame(
         plan, "source string, place int, source_size long, target double, quota long, shards long"
     )
 
     # the list of sources is bounded by MAX_SOURCES
     def placed(frame: DataFrame) -> DataFrame:
         joined = frame.withColumnRenamed("source", "own").join(F.broadcast(sources), F.col("own").eqNullSafe(F.col("source")))
-        draw = F.xxhash64(F.lit(seed), "id")
-        return joined.withColumn("draw", draw).withColumn("shard", F.pmod("draw", "shards"))
-
-    totals = placed(small).groupBy("place", "shard").agg(F.sum("size").alias("words"), F.max("quota").alias("quota"))
-    quotas = scratch.keep(
-        totals.groupBy("place").applyInPandas(
-            _shard_quotas(block_words, repeats), "place int, shard long, words long, take long"
-        ),
-        "quotas",
-    )
+        draw = F.xxhash64(F.lit(seed), "id", "mark")
+        shard = F.pmod(draw, "shards")
+        return joined.withColumn("shard", shard).withColumn("team", F.pmod("shard", F.ceil(F.col("shards") / group_shards)))
+
+    sums = placed(rows).groupBy("place", "team", "shard").agg(F.sum("size").alias("words"))
+    sums = scratch.keep(sums, "sums")
+    quotas = scratch.keep(_dealt(sums, sources, block_words, repeats), "quotas")
     in_shard = Window.partitionBy("place", "shard")
-    order = in_shard.orderBy(F.xxhash64(F.lit(seed + 1), "id"), "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    # rows that are equal in all of these are alike, so it does not matter which comes first
+    order = in_shard.orderBy(F.xxhash64(F.lit(seed + 1), "id", "mark"), "id", "mark", "size")
+    order = order.rowsBetween(Window.unboundedPreceding, -1)
     laid = placed(rows).withColumn("offset", F.coalesce(F.sum("size").over(order), F.lit(0)))
     ringed = laid.join(quotas, ["place", "shard"], "left").withColumn(
         "start", F.when(F.col("words") > 0, F.pmod(F.xxhash64(F.lit(seed + 2), "place", "shard"), "words")).otherwise(0)
@@ -199,21 +238,26 @@ def mix_pieces(
 
     turns = F.array(*[piece(F.lit(t)) for t in range(repeats + 1)])
     pieces = F.filter(turns, lambda p: p["n"] > 0).alias("pieces")
-    return ringed.select("id", "size", "source_size", "target", pieces, "doc")
+    return ringed.select("row", "id", F.col("own").alias("source"), "size", "source_size", "target", pieces)
 
 
 def taken_words(pieces: str | Column = "pieces") -> Column:
     return F.aggregate(pieces, F.lit(0).cast("bigint"), lambda total, p: total + p["n"])
 
 
-def mix_documents(docs: DataFrame, ident: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def mix_documents(
+    docs: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source", **options
+) -> DataFrame:
     """The mix itself, in the columns of `docs`: one row per piece.
 
     A whole document keeps its text as it is. At the two ends of a shard's run a
     document is cut; its words are then joined by single blanks.
     """
-    pieces = mix_pieces(docs, ident=ident, text=text, carry=docs.columns, **options)
-    each = pieces.select("doc", "size", F.explode("pieces").alias("piece"))
+    need_columns(docs, ident, text, source)
+    scratch = Scratch(docs.sparkSession, "mix")
+    rows = scratch.keep(_sized(docs, ident, text, source, F.struct("*").alias("doc")), "rows")
+    pieces = _pieces(scratch, rows.drop("doc"), **options)
+    each = pieces.select("row", "size", F.explode("pieces").alias("piece")).join(rows.select("row", "doc"), "row")
     cut = F.col("piece.n") < F.col("size")
     body = F.col("doc").getField(text)
     # the text may begin with white space, which gives an empty first cell
