@@ -20,11 +20,12 @@
 Similarities are compared in integers: 100 |A & B| >= percent |A | B|.
 
 Defined results: a text without words, empty or NULL, has no shingles and is
-linked with nothing. Nodes are named by a hash of their set, so rows that repeat
-an id are judged by their texts. Rows with a NULL id are compared among
-themselves only, and their component is NULL. Of each component the smallest id
-is kept, of its texts in the component the one of the smallest hash; of rows that
-repeat id and text, and have words, `near_dedup` keeps one. An empty table gives
+linked with nothing. Nodes are numbered, and known by the 128-bit key of their
+set, so rows that repeat an id are judged by their texts. Rows with a NULL id are compared among
+themselves only, and their component is NULL. `kept` says that a row's id is its
+component's (NULL as NULL). Of each component `near_dedup` keeps the smallest id, of its texts in
+the component the one of the smallest hash; of rows that repeat id and text, and
+have words, it keeps one. An empty table gives
 an empty result. Other columns do not matter, whatever their names.
 """
 
@@ -54,6 +55,8 @@ BLOCK_SHINGLES = 400_000
 PAIR_SLICE = 1 << 16
 # shingles that so many members share are counted by a matrix product, so many columns at a time
 DENSE_FROM = 16
+# what names a tile: a bucket and two of its blocks
+TILE = ("bucket", "low", "high")
 DENSE_COLUMNS = 2048
 
 
@@ -186,9 +189,11 @@ def common_counts(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _by_tile(schema: list[str], judge):
     """Runs `judge` on the rows of each tile; rows come sorted by tile, in batches that do not end with a tile."""
 
+    def edges(table):
+        return np.flatnonzero(np.any([np.diff(table.column(c).to_numpy()) != 0 for c in TILE], axis=0))
+
     def emit(table):
-        tile = table.column("tile").to_numpy()
-        bounds = [0, *(np.flatnonzero(np.diff(tile)) + 1).tolist(), len(tile)] if len(tile) else []
+        bounds = [0, *(edges(table) + 1).tolist(), table.num_rows] if table.num_rows else []
         for a, b in zip(bounds, bounds[1:]):
             arrays = judge(table.slice(a, b - a).combine_chunks())
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=schema)
@@ -198,7 +203,7 @@ def _by_tile(schema: list[str], judge):
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            edge = np.flatnonzero(np.diff(held.column("tile").to_numpy()))
+            edge = edges(held)
             if len(edge):
                 last = int(edge[-1]) + 1
                 yield from emit(held.slice(0, last))
@@ -222,15 +227,17 @@ def _survivors(percent: int):
         marks = _marks(table.column("bands").chunk(0))
         keys, used = marks.view(np.int64), np.zeros(len(ids), dtype=bool)
         # the first band in which all agree; an earlier one of a pair is a bucket that sees the pair too
-        band = (keys == keys[0]).all(axis=0).argmax()
+        agreed = (keys == keys[0]).all(axis=0)
+        band = agreed.argmax()
         for i, j in _pairs_apart(labels, sides, one):
             stay = surviving(marks[i], marks[j], percent)
             i, j = i[stay], j[stay]
-            fresh = (keys[i] == keys[j]).argmax(axis=1) == band
+            # without one the bucket is two of equal hash, and sees all its pairs
+            fresh = (keys[i] == keys[j]).argmax(axis=1) == band if agreed.any() else np.ones(len(i), dtype=bool)
             used[i[fresh]] = used[j[fresh]] = True
         return [table.column(c).to_numpy(zero_copy_only=False)[used] for c in names]
 
-    names = ["tile", "node", "label", "side", "one"]
+    names = [*TILE, "node", "label", "side", "one"]
     return _by_tile(names, judge)
 
 
@@ -270,7 +277,9 @@ def _across(
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
     tiles = spread.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks")).select("*", other)
     tiles = tiles.select(
-        F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("tile"),
+        "bucket",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
         "node",
         "label",
         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
@@ -279,16 +288,16 @@ def _across(
     )
 
     def sorted_tiles(rows: DataFrame) -> DataFrame:
-        return rows.repartition("tile").sortWithinPartitions("tile", "side", "node")
+        return rows.repartition(*TILE).sortWithinPartitions(*TILE, "side", "node")
 
-    fields = "tile bigint, node bigint, label bigint, side int, one boolean"
+    fields = "bucket bigint, low bigint, high bigint, node bigint, label bigint, side int, one boolean"
     tested = scratch.keep(sorted_tiles(tiles).mapInArrow(_survivors(percent), fields), "tested")
     read = sorted_tiles(tested.join(texts, "node"))
     return read.mapInArrow(_tile_links(width, percent), "a bigint, b bigint").distinct()
 
 
 def _judged(docs: DataFrame, width: int, percent: int, ident: str, text: str) -> DataFrame:
-    """`id, mark, n, component, kept` of each row, the mark being a hash of the text."""
+    """`id, mark, n, component, lead` of each row, the mark being a hash of the text; leads stay."""
     need_text(docs, ident, text)
     scratch = Scratch(docs.sparkSession, "near-dedup")
     docs = docs.select(F.col(ident).alias("id"), F.col(text).alias("text"))
@@ -298,8 +307,8 @@ def _judged(docs: DataFrame, width: int, percent: int, ident: str, text: str) ->
     rows = rows.withColumn("anonymous", F.col("id").isNull())
     first = F.min(F.struct("id", "mark")).alias("first")
     classes = rows.where("key IS NOT NULL").groupBy("anonymous", "key", "n", "bands").agg(first)
-    # two texts under one id are two classes, so a class needs a name of its own
-    nodes = scratch.keep(classes.withColumn("node", F.xxhash64("anonymous", "key")), "nodes")
+    # two texts under one id are two classes, so a class has a number of its own, which holds once it is written
+    nodes = scratch.keep(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     rows = rows.select("id", "mark", "n", "anonymous", "key")
 
     exploded = nodes.select("node", "anonymous", F.posexplode("bands").alias("band", "mark"))
@@ -334,8 +343,8 @@ def _judged(docs: DataFrame, width: int, percent: int, ident: str, text: str) ->
     classes = nodes.join(member, "node", "left").select("anonymous", "key", F.coalesce("lowest", "first").alias("lowest"))
     component = F.coalesce("lowest.id", "id").alias("component")
     lead = F.col("id").eqNullSafe(F.col("lowest.id")) & (F.col("mark") == F.col("lowest.mark"))
-    kept = (F.col("key").isNull() | lead).alias("kept")
-    return rows.join(classes, ["anonymous", "key"], "left").select("id", "mark", "n", component, kept)
+    stays = (F.col("key").isNull() | lead).alias("lead")
+    return rows.join(classes, ["anonymous", "key"], "left").select("id", "mark", "n", component, stays)
 
 
 def near_components(
@@ -346,7 +355,7 @@ def near_components(
         F.col("id").alias(ident),
         F.col("n").alias("n_shingles"),
         F.col("component").alias("component_id"),
-        "kept",
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
     )
 
 
@@ -358,8 +367,8 @@ def near_dedup(
     judged = scratch.keep(_judged(docs, width, percent, ident, text), "judged")
     named = [F.col("id").alias("of"), F.col("mark").alias("as")]
     same = F.col("id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("as"))
-    lost = judged.where("NOT kept").select(*named).distinct()
-    again = judged.where("kept AND n > 0").groupBy("id", "mark").count().where("count > 1").select(*named)
+    lost = judged.where("NOT lead").select(*named).distinct()
+    again = judged.where("lead AND n > 0").groupBy("id", "mark").count().where("count > 1").select(*named)
     again = scratch.keep(again, "again")
     whole = docs.select(F.struct("*").alias("doc"), F.col(ident).alias("id"), F.xxhash64(text).alias("mark"))
     left = whole.join(lost, same, "left_anti")
