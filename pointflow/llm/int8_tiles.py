@@ -123,18 +123,14 @@ def cosine_links(
     scratch = Scratch(vectors.sparkSession, "int8-tiles")
     rows = vectors.select(F.col(ident).alias("id"), F.col(vector).alias("vector"), F.col(label).alias("label"))
     fit = usable("vector") & F.col("label").isNotNull() & F.col("id").isNotNull()
-    classes = scratch.keep(
-        rows.where(fit).groupBy("label", "vector").agg(F.min("id").alias("first"), F.count("*").alias("copies")), "classes"
-    )
-    # two vectors under one id are two classes, so a class needs a name of its own
-    named = scratch.keep(
-        classes.select(F.xxhash64("label", "vector", "first").alias("rep"), "label", "vector", "first", "copies"), "named"
-    )
+    classes = rows.where(fit).groupBy("label", "vector").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
+    # two vectors under one id are two classes, so a class has a number of its own, which holds once it is written
+    named = scratch.keep(classes.withColumn("rep", F.monotonically_increasing_id()), "named")
     width = F.size("vector").alias("width")
     # what is known of a group is written before it joins its members, so that the join can split a hot group
     sizes = scratch.keep(named.groupBy("label", width).agg(F.ceil(F.count("*") / block).alias("blocks")), "sizes")
     placed = named.withColumn("width", F.size("vector")).join(sizes, ["label", "width"])
-    placed = placed.withColumn("block", F.pmod("rep", "blocks"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
     tiles = placed.select("rep", "label", "vector", "copies", "width", "block", other).select(
         "rep",
