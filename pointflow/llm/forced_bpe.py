@@ -12,8 +12,9 @@ are broadcast (3 MB); executors need no file.
 
 Defined results: a NULL text counts as empty; an empty text has no ids and
 decodes to the empty text. Literal special tokens in a text become their ids,
-as in the tokenizers library. Empty lists decode to the empty text. Characters
-that came with Unicode 16 or later may be cut and lowered otherwise than there.
+as in the tokenizers library. Empty lists decode to the empty text. Other
+columns are carried along, and where one is called `bpe`, the result is called
+`bpe_`. Characters that came with Unicode 16 or later may be cut and lowered otherwise than there.
 """
 
 from __future__ import annotations
@@ -30,13 +31,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_text, text_slices
+from pointflow.llm.tables import free_name, need_text, text_slices
 
 WORD_END = "</w>"
 # a larger vocabulary file is refused, as its tables go to every task
 MAX_FILE_BYTES = 64 << 20
-# chunks remembered by a task
-CACHE_CHUNKS = 1 << 17
+# bytes of ids and chunks that a task remembers, an entry counting as 128 more; longer chunks are not remembered
+CACHE_BYTES = 32 << 20
+CACHE_ENTRY = 128
+CACHE_CHUNK = 64
 # bytes of text that are encoded at a time
 SLICE_BYTES = 1 << 20
 NO_RANK = np.int64(1 << 40)
@@ -148,6 +151,7 @@ class Encoder:
         self.pre_token = regex.compile(PRE_TOKEN)
         self.pre_token_ascii = re.compile(PRE_TOKEN_ASCII)
         self.cache: dict[str, bytes] = {}
+        self.cached = 0
 
     def fragments(self, symbols: np.ndarray) -> np.ndarray:
         """Number of the fragment of each symbol: words end, and certain cuts lie, between fragments."""
@@ -188,20 +192,18 @@ class Encoder:
             stay[hits + 1] = False
             at, ids, fragment = at[stay], ids[stay], fragment[stay]
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         words, counts = [], []
         for chunk in chunks:
             found = (self.pre_token_ascii if chunk.isascii() else self.pre_token).findall(chunk)
             words += found
             counts.append(len(found))
         if not words:
-            self.cache.update(dict.fromkeys(chunks, b""))
-            return
+            return dict.fromkeys(chunks, b"")
         ids, offsets = self.encode_words(words)
         packed = ids.astype("<u4").tobytes()
         bounds = (4 * offsets[np.concatenate([[0], np.cumsum(counts)])]).tolist()
-        for chunk, lo, hi in zip(chunks, bounds, bounds[1:]):
-            self.cache[chunk] = packed[lo:hi]
+        return {chunk: packed[lo:hi] for chunk, lo, hi in zip(chunks, bounds, bounds[1:])}
 
     def _chunks(self, text: str) -> list[str]:
         """Normalised white-space separated chunks of a text without special tokens."""
@@ -237,15 +239,23 @@ class Encoder:
             for part in parts:
                 if isinstance(part, list):
                     seen.update(part)
-        if len(self.cache) + len(seen) > CACHE_CHUNKS:
-            self.cache.clear()
         missing = [c for c in seen if c not in self.cache]
-        if missing:
-            self._learn(missing)
+        fresh = self._learn(missing) if missing else {}
+        self.cache.update(fresh)
         known = self.cache.__getitem__
-        return [
+        out = [
             b"".join([p if isinstance(p, bytes) else b"".join(map(known, p)) for p in parts]) for parts in whole
         ]
+        # a slice adds little more than its own size, so the bound is kept between slices
+        for chunk, ids in fresh.items():
+            if len(chunk) > CACHE_CHUNK:
+                del self.cache[chunk]
+            else:
+                self.cached += CACHE_ENTRY + 4 * len(chunk) + len(ids)
+        if self.cached > CACHE_BYTES:
+            self.cache.clear()
+            self.cached = 0
+        return out
 
 
 def decode_ids(ids: np.ndarray, tokens: list[str]) -> str:
@@ -283,7 +293,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", forms: Sequ
             ids, offsets = encoder.encode(texts)
             yield pa.StructArray.from_arrays([_form(f, ids, offsets, tokens) for f in forms], names=list(forms))
 
-    return docs.withColumn("bpe", run(F.col(text)))
+    return docs.withColumn(free_name(docs, "bpe"), run(F.col(text)))
 
 
 def decode_documents(docs: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
