@@ -27,8 +27,8 @@ from pointflow.llm.heavy_dedup import LOWER, UPPER
 from pointflow.llm.tables import need_columns
 
 ALLOW, BLOCK = "allow", "block"
-# text of the rules up to which they go to every task as a trie
-MAX_RULE_BYTES = 64 << 20
+# text of the rules up to which they go to every task as a trie, whose dictionaries take about 50 times as much
+MAX_RULE_BYTES = 1 << 20
 RULE_SCHEMA = "host string, path string, verdict string"
 
 
