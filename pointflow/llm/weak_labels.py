@@ -10,9 +10,10 @@ the votes themselves, which judges every whole text. Trigrams show what a text
 is made of, votes what no trigram shows, such as words that repeat.
 
 Defined results: a NULL text counts as empty; a text without words has score 0
-and is rejected. If one of the two sides has no documents, nothing can be
-learned and every text with words is kept with score 1. An empty table gives an
-empty result. Repeated rows get equal results; other columns are carried along.
+and is rejected. If one of the two sides has no documents, no scorer can be
+trained, and the posterior of a text's votes is its score. An empty table gives an
+empty result. Repeated rows get equal results; other columns are carried along,
+and where one of them is called `quality`, the result is called `quality_`.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_text, text_slices
+from pointflow.llm.tables import free_name, need_text, text_slices
 
 BAD, GOOD, NONE = 0, 1, 2
 # documents of each side that the scorer is trained on, a documented bound
@@ -237,9 +238,9 @@ def _pattern_column(text: str | Column) -> Column:
 
 
 class QualityModel:
-    """Posteriors by vote pattern and the scorer that they trained; small enough to travel with each task."""
+    """Posteriors by vote pattern and the scorer that they trained, if any; small enough to travel with each task."""
 
-    def __init__(self, posterior: dict[int, float], on_bad, on_good, weights: np.ndarray, bias: float):
+    def __init__(self, posterior: dict[int, float], on_bad, on_good, weights: np.ndarray | None, bias: float):
         self.posterior, self.on_bad, self.on_good = posterior, on_bad, on_good
         self.weights, self.bias = weights, bias
 
@@ -254,7 +255,8 @@ class QualityModel:
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in text_slices(batches):
                 pattern, words = vote_patterns(texts)
-                score = np.where(words > 0, score_texts(texts, pattern, weights, bias), 0.0)
+                score = table[pattern] if weights is None else score_texts(texts, pattern, weights, bias)
+                score = np.where(words > 0, score, 0.0)
                 yield pa.StructArray.from_arrays(
                     [pa.array(score), pa.array(table[pattern]), pa.array(score >= KEEP_FROM)],
                     names=["score", "posterior", "kept"],
@@ -263,6 +265,26 @@ class QualityModel:
         return run(text)
 
 
+def _features_column(text: str | Column, patterns: list[int]) -> Column:
+    """Vote pattern, slots and shares of a text whose pattern is one of those given, else NULL."""
+    wanted = np.zeros(PATTERNS, dtype=bool)
+    wanted[patterns] = True
+
+    @F.arrow_udf("struct<pattern: bigint, slots: array<int>, shares: array<double>>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in text_slices(batches):
+            pattern, _ = vote_patterns(texts)
+            there = wanted[pattern]
+            marks = vote_marks(pattern)
+            pairs = [_features(t, m) if w else ((), ()) for t, m, w in zip(texts, marks, there)]
+            slots = pa.array([p[0] for p in pairs], pa.list_(pa.int32()))
+            shares = pa.array([p[1] for p in pairs], pa.list_(pa.float64()))
+            names = ["pattern", "slots", "shares"]
+            yield pa.StructArray.from_arrays([pa.array(pattern), slots, shares], names=names, mask=pa.array(~there))
+
+    return run(text)
+
+
 def _trainer(posterior: dict[int, float]):
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
@@ -286,32 +308,23 @@ def fit_quality(docs: DataFrame, ident: str = "doc_id", text: str = "text", samp
     by_pattern = dict(zip(patterns.tolist(), posterior.tolist()))
     sides = {side: int(counts[(posterior >= 0.5) == side].sum()) for side in (False, True)}
     if not all(sides.values()):
-        return QualityModel(by_pattern, on_bad, on_good, np.zeros(WEIGHTS), 50.0)
+        return QualityModel(by_pattern, on_bad, on_good, None, 0.0)
 
     # a hash of the id draws somewhat more than the sample, whose exact size a top-k by that hash sets
     unit = F.pmod("draw", F.lit(1 << 40)) / (1 << 40)
     part = {side: min(1.0, 1.2 * sample / n) for side, n in sides.items()}
-    drawn = rows.where(unit < max(part.values())).select("draw", "text", _pattern_column("text").alias("pattern"))
-    good = F.col("pattern").isin([p for p, v in by_pattern.items() if v >= 0.5])
-
-    @F.arrow_udf("struct<slots: array<int>, shares: array<double>>")
-    def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in text_slices(batches):
-            marks = vote_marks(vote_patterns(texts)[0])
-            pairs = [_features(t, m) for t, m in zip(texts, marks)]
-            slots = pa.array([p[0] for p in pairs], pa.list_(pa.int32()))
-            shares = pa.array([p[1] for p in pairs], pa.list_(pa.float64()))
-            yield pa.StructArray.from_arrays([slots, shares], names=["slots", "shares"])
+    sides_of = {side: [p for p, v in by_pattern.items() if (v >= 0.5) == side] for side in (True, False)}
 
     # features are bounded, texts are not: so features come first, and the top-k holds no text
     picked = [
-        drawn.where(side_rows & (unit < part[side]))
-        .select("draw", "pattern", features("text").alias("f"))
-        .orderBy("draw", "pattern", "f.slots")
+        rows.where(unit < part[side])
+        .select("draw", _features_column("text", patterns).alias("f"))
+        .where("f IS NOT NULL")
+        .orderBy("draw", "f.pattern", "f.slots")
         .limit(sample)
-        for side, side_rows in ((True, good), (False, ~good))
+        for side, patterns in sides_of.items()
     ]
-    rows = picked[0].union(picked[1]).select(F.lit(0).alias("all"), "pattern", "f.slots", "f.shares")
+    rows = picked[0].union(picked[1]).select(F.lit(0).alias("all"), "f.pattern", "f.slots", "f.shares")
     row = rows.groupBy("all").applyInArrow(_trainer(by_pattern), "weights array<double>, bias double").first()
     # both sides weigh alike in the sample; the bias brings their true shares back
     odds = np.log(sides[True] / sides[False]) - np.log(min(sides[True], sample) / min(sides[False], sample))
@@ -319,10 +332,10 @@ def fit_quality(docs: DataFrame, ident: str = "doc_id", text: str = "text", samp
 
 
 def judge_quality(docs: DataFrame, ident: str = "doc_id", text: str = "text", model: QualityModel | None = None) -> DataFrame:
-    """Adds `quality`, a struct of score, posterior and kept, to the columns of `docs`."""
+    """Adds `quality` (`quality_` if that is taken), a struct of score, posterior and kept, to the columns of `docs`."""
     need_text(docs, ident, text)
     model = model or fit_quality(docs, ident, text)
-    return docs.withColumn("quality", model.columns(F.col(text)))
+    return docs.withColumn(free_name(docs, "quality"), model.columns(F.col(text)))
 
 
 def keep_quality(docs: DataFrame, ident: str = "doc_id", text: str = "text", model: QualityModel | None = None) -> DataFrame:
