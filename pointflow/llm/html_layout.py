@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_text, text_slices
+from pointflow.llm.tables import free_name, need_text, text_slices
 
 MAX_PAD = 200
 MAX_SPAN = 1000
@@ -514,14 +514,11 @@ def visible_text(html: str | None) -> str:
 
 
 def extract_text(pages: DataFrame, html: str = "html", extracted: str = "extracted") -> DataFrame:
-    """Adds the visible text to the columns of `pages`."""
+    """Adds the visible text as `extracted`; a column of that name stays, and underscores go behind the new one's."""
     need_text(pages, html)
-    if extracted in pages.columns:
-        raise ValueError(f"there is a column {extracted} already")
-
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in text_slices(batches):
             yield pa.array([visible_text(t) for t in texts], pa.string())
 
-    return pages.withColumn(extracted, run(html))
+    return pages.withColumn(free_name(pages, extracted), run(html))

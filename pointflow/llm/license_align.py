@@ -20,7 +20,8 @@ above, so nothing is lost by it.
 Defined results: a NULL text counts as empty; a text without a template has an
 empty list and a NULL license. Of equal coverages the longer template wins, then
 the smaller name. An empty table gives an empty result. Repeated rows get equal
-results; other columns are carried along.
+results; other columns are carried along, and where one is called `licenses`, the
+result is called `licenses_`.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_text, text_slices
+from pointflow.llm.tables import free_name, need_text, text_slices
 
 MIN_COVERAGE = 0.8
 WORDS = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
@@ -214,4 +215,4 @@ def scan_licenses(
         for texts in text_slices(batches):
             yield pa.array([scan_all(t, cut, least) for t in texts], pa.list_(item))
 
-    return docs.withColumn("licenses", run(text))
+    return docs.withColumn(free_name(docs, "licenses"), run(text))

@@ -11,13 +11,14 @@ import hashlib
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 
 HASHES = 128
 BAND_ROWS = 4
 BANDS = HASHES // BAND_ROWS
 # shingles that are hashed at a time, so that a block stays in cache
 BLOCK_SHINGLES = 1 << 15
+# bytes of words that are hashed at a time, but for a longer word
+BLOCK_BYTES = 1 << 16
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -37,9 +38,21 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:
-    cells = np.empty(len(words), dtype=object)
-    cells[:] = words
-    return pd.util.hash_array(cells, categorize=False)
+    """A 64-bit hash of each word: its bytes, mixed with their places, added up."""
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    out = sizes.astype(np.uint64) * _ODD
+    data = np.frombuffer(b"".join(words), dtype=np.uint8)
+    starts = np.cumsum(sizes) - sizes
+    at = 0
+    while at < len(words):
+        end = max(at + 1, int(np.searchsorted(starts, starts[at] + BLOCK_BYTES)))
+        low, high = starts[at], starts[end - 1] + sizes[end - 1]
+        place = np.arange(low, high) - np.repeat(starts[at:end], sizes[at:end])
+        cells = mix((place.astype(np.uint64) << np.uint64(8) | data[low:high]) * _ODD)
+        filled = at + np.flatnonzero(sizes[at:end])
+        out[filled] += np.add.reduceat(cells, starts[filled] - low) if len(filled) else cells
+        at = end
+    return mix(out)
 
 
 def _sequence_hash(h: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,14 @@ def need_columns(df: DataFrame, *names: str) -> None:
         raise ValueError(f"missing columns: {missing}")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores behind it if `df` has such a column, which then stays as it is."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 BATCH_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 TEXT_ROWS = 1024
 
@@ -73,5 +82,12 @@ def text_slices(batches: Iterator[pa.Array], limit: int = 2 << 20) -> Iterator[l
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start).to_pylist()
             start = stop
-    # an idle worker should not sit on what its last task needed
+    give_back()
+
+
+def give_back() -> None:
+    """Free what a task has let go, as an idle worker should not sit on what its last task needed."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

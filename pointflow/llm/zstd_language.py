@@ -14,7 +14,8 @@ Defined results: a text that is NULL or has no letters gets `und` with score 0
 and is not accepted. Equal sizes go to the language with more labelled texts,
 then the smaller name. With one learned language every text with letters gets it
 with score 1; with none learned, all get `und`. An empty table gives an empty
-result. Repeated rows get equal results; other columns are carried along.
+result. Repeated rows get equal results; other columns are carried along, and
+where one is called `language`, the result is called `language_`.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pointflow.llm.tables import need_text, text_slices
+from pointflow.llm.tables import free_name, need_text, text_slices
 
 UNKNOWN = "und"
 MIN_MARGIN = 0.01
@@ -123,4 +124,4 @@ def fit_languages(labelled: DataFrame, ident: str = "doc_id", text: str = "text"
 def identify_languages(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """Adds `language`, a struct of lang, score and accepted, to the columns of `docs`."""
     need_text(docs, text)
-    return docs.withColumn("language", model.columns(docs, F.col(text)))
+    return docs.withColumn(free_name(docs, "language"), model.columns(docs, F.col(text)))

@@ -21,9 +21,11 @@ def test_every_operator_is_registered():
     assert set(__spark_entry__.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+# the audit returns rows of groups
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("op13_")])
 def test_query_returns_one_row_per_row(spark, name):
-    table, key = {"op4": ("pages", "page_id"), "op6": ("pages", "page_id"), "op5": ("embeddings", "vec_id")}.get(name.split("_")[0], ("documents", "doc_id"))
+    tables = {"op4": ("pages", "page_id"), "op6": ("pages", "page_id"), "op5": ("embeddings", "vec_id"), "op11": ("embeddings", "vec_id")}
+    table, key = tables.get(name.split("_")[0], ("documents", "doc_id"))
     ids = sorted(r[0] for r in spark.read.parquet(f"{FOLDER}/{table}.parquet").select(key).collect())
     assert sorted(r[0] for r in QUERIES[name](spark, FOLDER).select(key).collect()) == ids
 
