@@ -51,6 +51,21 @@ def centers64(spark: SparkSession, folder: str) -> list[list[float]]:
     return collect_centers(table(spark, folder, "embeddings").groupBy("label").agg(first), order="label")
 
 
+def order_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as (thousands of price, tens of customers), group A being finished orders."""
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.array(F.col("o_totalprice") / 1000, F.col("o_custkey") / 10).alias("point"),
+        F.when(F.col("o_orderstatus") == "F", 0).otherwise(1).alias("grp"),
+    )
+
+
+def part_centers(spark: SparkSession, folder: str) -> DataFrame:
+    """`(k, center)`: a center for every part."""
+    center = F.array(F.col("p_retailprice") / 4 - 200, F.col("p_size") * 3.0).alias("center")
+    return table(spark, folder, "part").select(F.col("p_partkey").alias("k"), center)
+
+
 def point_lines(spark: SparkSession, folder: str, *, tax: bool = False) -> DataFrame:
     """Line items as `quantity,discount[,tax],flag` text."""
     cells = ["l_quantity", "l_discount", *(["l_tax"] if tax else []), "l_returnflag"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointflow.functions import text, vectors
-from pointflow.operators import assign, batches, fair, kmeans, metrics, partials, words
+from pointflow.operators import assign, batches, center_blocks, fair, kmeans, metrics, partials, words
 from pointflow.plans import bindings as b
 from pointflow.session import scratch_folder
 from pointflow.sources import blobs, items, points
@@ -208,6 +208,18 @@ def assign_nearest_nullable(spark, folder):
     return near.groupBy("k", "grp").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("dist2"), 4).alias("ss"))
 
 
+@query
+def assign_many_centers(spark, folder):
+    near = center_blocks.assign_nearest_blocks(b.order_points(spark, folder), b.part_centers(spark, folder))
+    return near.select("o_orderkey", "k", *rounded("dist2"))
+
+
+@query
+def report_many_centers(spark, folder):
+    report = center_blocks.cluster_report_blocks(b.order_points(spark, folder), b.part_centers(spark, folder))
+    return report.select(*_report_columns())
+
+
 # --- sums, means, scatter
 
 

@@ -233,6 +233,14 @@ SUMMARY = "SELECT count(*) AS processed, count(DISTINCT item) AS n_distinct, max
 LIVE = f"live AS (SELECT count(*) AS n, greatest(1, ceil(count(*) / {b.LIVE_SLICES}::DOUBLE))::BIGINT AS step FROM events)"
 
 
+MANY = """o AS (
+    SELECT o_orderkey, o_totalprice / 1000 AS x, o_custkey / 10 AS y, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS grp FROM orders),
+c AS (SELECT p_partkey AS k, p_retailprice / 4 - 200 AS cx, p_size * 3.0::DOUBLE AS cy FROM part),
+near AS (
+    SELECT o_orderkey, any_value(grp) AS grp, min({'d': (x - cx) * (x - cx) + (y - cy) * (y - cy), 'k': k}) AS m
+    FROM o, c GROUP BY o_orderkey)"""
+
+
 def _unit(stream: str, ident: str, start: int) -> str:
     digest = f"md5('{SEED}:{stream}:' || CAST({ident} AS VARCHAR))"
     return f"((CAST('0x' || substr({digest}, {start}, 12) AS BIGINT) + CAST(0.5 AS DOUBLE)) / {_num(2.0**48)})"
@@ -398,6 +406,14 @@ FROM d GROUP BY 1, 2""",
     "fair_lloyd_auto_far": FAR_CENTERS,
     "kmeans_fit_facts": """SELECT 12 AS k, CAST(count(DISTINCT l_linenumber) AS INTEGER) AS k_effective, count(*) AS n, 0.0::DOUBLE AS delta
 FROM lineitem""",
+    "assign_many_centers": f"WITH {MANY}\nSELECT o_orderkey, m.k AS k, round(m.d, 6) AS dist2 FROM near",
+    "report_many_centers": f"""WITH {MANY},
+near2 AS (SELECT m.k AS k, m.d AS dist2, grp FROM near),
+t AS (SELECT {_TOTALS} FROM near2),
+per AS (SELECT k, count(*) FILTER (WHERE grp = 0) AS n_a_k, count(*) FILTER (WHERE grp = 1) AS n_b_k FROM near2 GROUP BY k)
+SELECT c.k, round(cx, 6) AS x, round(cy, 6) AS y, coalesce(n_a_k, 0) AS n_a_k, coalesce(n_b_k, 0) AS n_b_k,
+       n, n_a, n_b, {_OBJECTIVES}
+FROM c LEFT JOIN per ON per.k = c.k JOIN t ON true""",
     "stream_threshold_live": f"""WITH {LIVE}
 SELECT least(n, ceil(taken / step::DOUBLE) * step)::BIGINT AS processed, ceil(taken / step::DOUBLE)::BIGINT AS n_batches
 FROM (SELECT *, greatest(1, ceil(n / {b.LIVE_SHARE}::DOUBLE))::BIGINT AS taken FROM live)""",
