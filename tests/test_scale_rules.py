@@ -156,7 +156,7 @@ def test_a_lower_threshold_clears_what_it_does_not_take(spark):
     assert tables.summary().first()["processed"] == 4
     tables.write(part(3, 4), 1, 2)
     assert tables.summary().first()["processed"] == tables.sizes().agg(F.sum("n")).first()[0] == 2
-    assert tables.log().columns == ["batch_id", "at", "n"]
+    assert tables.log().columns == ["batch_id", "at", "n", "seen"]
 
 
 def test_closed_batches_are_merged(spark, monkeypatch):
