@@ -56,10 +56,12 @@ def plans(spark, folder):
         "fair_lloyd_3_rounds": lambda: fair.fair_lloyd(p2, b.CENTERS, 3),
         "fair_lloyd_population_3_rounds": lambda: fair.fair_lloyd(p2, b.CENTERS, 3, "population"),
         "fair_line_search_per_supplier": lambda: drain(QUERIES["fair_line_search"](spark, folder)),
+        "lloyd_by_segment_3_rounds": lambda: drain(QUERIES["lloyd_by_segment"](spark, folder)),
         "kmeans_fit_k4_20_rounds": lambda: kmeans.kmeans_fit(p2, 4, 20),
         "word_count": lambda: drain(words.word_count(lines)),
         "word_count_salted": lambda: drain(words.word_count_salted(lines, b.LINE_KEYS)),
         "word_count_salted_groupby": lambda: drain(words.word_count_salted(lines, b.LINE_KEYS, salt_from="word_doc")),
+        "word_count_salted_hot": lambda: drain(words.word_count_salted_hot(lines)),
         "word_count_by_partition": lambda: drain(words.word_count_by_partition(lines)),
         "doc_word_count": lambda: drain(words.doc_word_count(lines, b.LINE_KEYS)),
         "wordcount_summary": lambda: words.wordcount_summary(lines).collect(),

@@ -19,6 +19,10 @@ from pointflow.functions.text import text_lines, tokenize, word_length
 from pointflow.sources.points import load_parts
 
 SALT_SOURCES = ("doc", "word_doc", "pair")
+# words that the sketch may name, and the counters it keeps for them: an error of at most 1/3000 of all tokens
+HOT_WORDS, SKETCH_ITEMS = 64, 4096
+# share of all tokens from which a word is hot
+HOT_SHARE = 1 / 256
 
 
 def documents_as_lines(documents: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -64,6 +68,47 @@ def word_count_salted(
     return first.groupBy("word").agg(F.sum("part").alias("cnt"))
 
 
+def hot_words(
+    lines: DataFrame, value: str = "value", share: float = HOT_SHARE, one_in: int = 1
+) -> dict[str, float]:
+    """Words that make up at least `share` of the tokens, with their share, hottest first.
+
+    A frequent-items sketch of fixed size is filled in every task and merged; at
+    most HOT_WORDS words come to the driver. With `one_in` only lines of one in
+    so many hashes fill it.
+    """
+    some = lines if one_in == 1 else lines.where(salt(one_in, value) == 0)
+    sketch = F.expr(f"approx_top_k(word, {HOT_WORDS}, {SKETCH_ITEMS})").alias("top")
+    found = words(some, value).agg(F.count("word").alias("n"), sketch).first()
+    shares = {r["item"]: r["count"] / found["n"] for r in found["top"] or ()} if found["n"] else {}
+    return {w: part for w, part in sorted(shares.items(), key=lambda x: (-x[1], x[0])) if part >= share}
+
+
+def word_count_salted_hot(
+    lines: DataFrame, salts: int = 64, value: str = "value", hot: dict[str, float] | None = None, one_in: int = 16
+) -> DataFrame:
+    """`(word, cnt)`, where only hot words take a second round, spread over salts by their weight.
+
+    A task sends one row per word, whatever the salt, which is a number of the
+    task; a word of weight w is added up by up to `1 + w * salts` reducers
+    first. Other words are done after the one exchange. `hot` may name the words
+    and their shares; else a sketch over one in `one_in` lines finds them. It
+    decides where words are added up and never what is counted.
+    """
+    if salts < 1:
+        raise ValueError("salts must be positive")
+    hot = hot_words(lines, value, one_in=one_in) if hot is None else hot
+    if not hot:
+        return word_count(lines, value)
+    weights = F.create_map(*[F.lit(x) for w, part in hot.items() for x in (w, 1 + int(part * salts))])
+    task = F.when(F.col("word").isin(list(hot)), F.pmod(F.spark_partition_id(), weights[F.col("word")])).otherwise(-1)
+    tokens = words(lines, value).select("word", task.alias("salt"))
+    # the largest salt of a group is its salt, but no filter on it moves below the sum, so both branches share one exchange
+    first = tokens.groupBy("salt", "word").agg(F.max("salt").alias("slot"), F.count(F.lit(1)).alias("cnt"))
+    again = first.where("slot >= 0").groupBy("word").agg(F.sum("cnt").alias("cnt"))
+    return first.where("slot < 0").select("word", "cnt").unionByName(again)
+
+
 def word_count_by_partition(lines: DataFrame, parts: int | None = None, value: str = "value") -> DataFrame:
     """`(word, cnt)`: a hash table per partition, then one shuffle of the partition totals.
 

@@ -15,6 +15,7 @@ from pointflow.sources.table_stream import table_stream
 CENTERS = [[5.0, 1.0], [20.0, 9.0], [35.0, 2.0], [45.0, 8.0]]
 LLOYD_ROUNDS = 3
 FAIR_ROUNDS = 2
+BOUNDED_ROUNDS = 8
 WIDE_DIMS = 64
 # how far the points of the offset query are moved
 OFFSET = 1e6
@@ -66,6 +67,14 @@ def part_centers(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(F.col("p_partkey").alias("k"), center)
 
 
+def supplier_centers(spark: SparkSession, folder: str) -> DataFrame:
+    """`(segment, k, center)`: the four start centers of every supplier, moved by its key."""
+    segments = table(spark, folder, "lineitem").select(F.col("l_suppkey").alias("segment")).distinct()
+    shift = F.col("segment") % 7 / 4
+    cells = [F.struct(F.lit(i).alias("k"), F.array(x + shift, F.lit(y)).alias("center")) for i, (x, y) in enumerate(CENTERS)]
+    return segments.select("segment", F.inline(F.array(*cells)))
+
+
 def point_lines(spark: SparkSession, folder: str, *, tax: bool = False) -> DataFrame:
     """Line items as `quantity,discount[,tax],flag` text."""
     cells = ["l_quantity", "l_discount", *(["l_tax"] if tax else []), "l_returnflag"]

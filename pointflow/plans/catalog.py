@@ -8,7 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointflow.functions import text, vectors
-from pointflow.operators import assign, batches, center_blocks, fair, kmeans, metrics, partials, words
+from pointflow.operators import (
+    assign,
+    batches,
+    bounded_lloyd,
+    center_blocks,
+    fair,
+    keyed_lloyd,
+    kmeans,
+    metrics,
+    partials,
+    words,
+)
 from pointflow.plans import bindings as b
 from pointflow.session import scratch_folder
 from pointflow.sources import blobs, items, points
@@ -302,6 +313,19 @@ def lloyd_rounds(spark, folder):
     return center_rows(spark, kmeans.lloyd(b.points2(spark, folder), b.CENTERS, b.LLOYD_ROUNDS))
 
 
+@query
+def lloyd_bounded(spark, folder):
+    centers, _ = bounded_lloyd.lloyd_bounded(b.points2(spark, folder), b.CENTERS, b.BOUNDED_ROUNDS)
+    return center_rows(spark, centers)
+
+
+@query
+def lloyd_by_segment(spark, folder):
+    rows = b.points2(spark, folder, F.col("l_suppkey").alias("segment"))
+    found = keyed_lloyd.lloyd_by(rows, b.supplier_centers(spark, folder), ["segment"], b.LLOYD_ROUNDS)
+    return found.select("segment", "k", *xy("center"))
+
+
 @query
 def fair_stats(spark, folder):
     stats = fair.fair_stats(_models(spark, folder, ["segment"]), ["segment"])
@@ -457,6 +481,11 @@ def word_count_salted_groupby(spark, folder):
     return words.word_count_salted(b.doc_lines(spark, folder), b.LINE_KEYS, salts=8, salt_from="word_doc")
 
 
+@query
+def word_count_salted_hot(spark, folder):
+    return words.word_count_salted_hot(b.doc_lines(spark, folder))
+
+
 @query
 def word_count_by_partition(spark, folder):
     return words.word_count_by_partition(b.doc_lines(spark, folder), parts=8)

@@ -74,6 +74,27 @@ def _lloyd(rounds: int, tag: str = "l") -> list[str]:
     return ctes
 
 
+def _lloyd_rows(segment: str, shift: str, rounds: int) -> str:
+    """Rounds of a model per segment, centers being rows."""
+    start = ", ".join(f"({i}, {_num(x)}, {_num(y)})" for i, (x, y) in enumerate(b.CENTERS))
+    ctes = [
+        f"p AS MATERIALIZED (SELECT row_number() OVER () AS id, {segment} AS segment, l_quantity AS x, "
+        "l_discount * 100 AS y FROM lineitem)",
+        f"c0 AS MATERIALIZED (SELECT segment, k, x + {shift} AS x, y FROM (SELECT DISTINCT segment FROM p), "
+        f"(VALUES {start}) AS v(k, x, y))",
+    ]
+    for r in range(rounds):
+        ctes += [
+            f"a{r} AS MATERIALIZED (SELECT any_value(p.segment) AS segment, any_value(p.x) AS x, any_value(p.y) AS y, "
+            "min({'d': (p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y), 'k': c.k}).k AS k "
+            f"FROM p JOIN c{r} c ON c.segment = p.segment GROUP BY p.id)",
+            f"m{r} AS MATERIALIZED (SELECT segment, k, avg(x) AS x, avg(y) AS y FROM a{r} GROUP BY ALL)",
+            f"c{r + 1} AS MATERIALIZED (SELECT c.segment, c.k, coalesce(m.x, c.x) AS x, coalesce(m.y, c.y) AS y "
+            f"FROM c{r} c LEFT JOIN m{r} m ON m.segment = c.segment AND m.k = c.k)",
+        ]
+    return _with(*ctes)
+
+
 def _group_means(name: str, near: str, by: str = "") -> str:
     """Sizes and means per cluster and group, side by side; `by` is a leading column list."""
     cells = ", ".join(
@@ -333,6 +354,10 @@ FROM (SELECT l_linestatus AS segment, coalesce(var_pop(x + {_num(b.OFFSET)}) FIL
       FROM points GROUP BY l_linestatus), (SELECT unnest(['unrolled', 'arrow']) AS strategy)""",
     "lloyd_rounds": _with(POINTS, _center_row("c0", b.CENTERS), *_lloyd(b.LLOYD_ROUNDS))
     + _unpivot(f"lc{b.LLOYD_ROUNDS}"),
+    "lloyd_bounded": _lloyd_rows("0", "0", b.BOUNDED_ROUNDS)
+    + f"SELECT k, round(x, 6) AS x, round(y, 6) AS y FROM c{b.BOUNDED_ROUNDS}",
+    "lloyd_by_segment": _lloyd_rows("l_suppkey", "(segment % 7) / 4.0::DOUBLE", b.LLOYD_ROUNDS)
+    + f"SELECT segment, k, round(x, 6) AS x, round(y, 6) AS y FROM c{b.LLOYD_ROUNDS}",
     "fair_stats": _with(*_SEGMENT)
     + """SELECT segment, k, n_a, n_b, round(alpha, 6) AS alpha, round(beta, 6) AS beta, round(ell, 6) AS ell,
        round(a_x, 6) AS a_x, round(a_y, 6) AS a_y, round(b_x, 6) AS b_x, round(b_y, 6) AS b_y FROM stats""",
@@ -366,6 +391,7 @@ SELECT l_orderkey, round(x + 1.5, 6) AS total_x, round(y - 2, 6) AS total_y, rou
     "word_count": WORD_COUNT,
     "word_count_salted": WORD_COUNT,
     "word_count_salted_groupby": WORD_COUNT,
+    "word_count_salted_hot": WORD_COUNT,
     "word_count_by_partition": WORD_COUNT,
     "doc_word_count": _with(DOC_LINES)
     + "SELECT doc_id, line, word, count(*) AS cnt FROM words GROUP BY doc_id, line, word",
