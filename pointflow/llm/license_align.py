@@ -11,7 +11,8 @@ whole text does not reach the coverage, windows are aligned too, and the best
 counts. An alignment that reaches it lacks so many template words at most; of
 that many and one more, the rarest in the text, it holds one, so windows of
 several widths are laid around every occurrence of each of them. Windows of a
-long template that lie within 1/64 of its length are aligned as one.
+long template that lie within 1/64 of its length are aligned as one at first;
+where that finds nothing, all of them are tried before a template is left out.
 
 A template is tried only where enough of its words occur at all, and windows only
 where the longest common subsequence is long enough. Both bound the coverage from
@@ -159,22 +160,43 @@ def scan(text: list[str], template: list[str], least: float) -> tuple[float, int
         known.append(known[-1] + (word in need))
         if word in need:
             places.setdefault(word, []).append(i)
-    step = max(1, n // 64)
-    starts = Counter((i - j) // step * step for j in rarest for i in places.get(template[j], ()))
-    slacks = sorted({0, 1, 2, n // 8, n // 4, n // 2, n}) if n < 64 else [0, n // 16, n // 4, n]
-    widths = sorted(product(slacks, slacks), key=sum) if n < 64 else list(zip(slacks, slacks))
-    seen = set()
-    # places that most of the words agree on come first; no window covers more than the longest subsequence
-    for start, _ in starts.most_common():
-        for before, after in widths:
-            window = max(0, start - before), min(len(text), start + step - 1 + n + after)
-            if window in seen or known[window[1]] - known[window[0]] < enough:
-                continue
-            seen.add(window)
-            best = max(best, judged(*window), key=lambda x: x[0])
-            if best[0] >= top:
-                return best
-    return best if best[0] >= least else None
+    offsets = Counter(i - j for j in rarest for i in places.get(template[j], ()))
+    fine = sorted({0, 1, 2, n // 16, n // 8, n // 4, n // 2, n})
+    every = sorted(product(fine, fine), key=sum)
+    seen: set[tuple[int, int]] = set()
+
+    def windows(step: int, widths) -> Iterator[tuple[int, int]]:
+        starts: Counter[int] = Counter()
+        for offset, agree in offsets.items():
+            starts[offset // step * step] += agree
+        # places that most of the words agree on come first
+        for start, _ in starts.most_common():
+            for before, after in widths:
+                window = max(0, start - before), min(len(text), start + step - 1 + n + after)
+                if window not in seen and known[window[1]] - known[window[0]] >= enough:
+                    seen.add(window)
+                    yield window
+
+    near = [(w, w) for w in (0, n // 16, n // 4, n)]
+    # no window covers more than the longest subsequence
+    for window in windows(n // 64, near) if n >= 64 else windows(1, every):
+        best = max(best, judged(*window), key=lambda x: x[0])
+        if best[0] >= top:
+            return best
+    if best[0] >= least:
+        return best
+    if n >= 64:
+        # windows with the same words of the template align alike but for their ends; the bound goes by blocks of starts
+        hopeful: dict[tuple[int, int], bool] = {}
+        for lo, hi in windows(1, every):
+            block = lo // (n // 8) * (n // 8), min(len(text), -(-hi // (n // 8)) * (n // 8))
+            if block not in hopeful:
+                hopeful[block] = common_length(text[block[0] : block[1]], template) >= enough
+            if hopeful[block]:
+                found = judged(lo, hi)
+                if found[0] >= least:
+                    return found
+    return None
 
 
 def scan_all(text: str | None, templates: list[tuple[str, list[str], Counter]], least: float) -> list[dict]:

@@ -215,6 +215,34 @@ def test_license_windows_equal_a_scan_of_all_windows():
     assert hits > 300
 
 
+def test_license_windows_of_long_templates_are_not_lost():
+    """Near the threshold, and where copies stand close: no window at every third start and five widths does better."""
+    known = license_align.known_licenses()
+    templates = [license_align.license_words(v) for name in ("MIT", "ISC", "Apache-2.0") for v in known[name]]
+    templates = [t for t in templates if 64 <= len(t) <= 230]
+    assert len(templates) >= 3
+    rng = random.Random(8)
+    hits = bare = 0
+    for round in range(120):
+        template = templates[round % len(templates)]
+        n = len(template)
+        words = []
+        for _ in range(rng.randrange(2, 5)):
+            copy = list(template)
+            for j in rng.sample(range(n), int(n * rng.uniform(0.2, 0.26))):
+                copy[j] = rng.choice([*template, "xx", "yy"])
+            words += [rng.choice(["zz", *template]) for _ in range(rng.randrange(6))] + copy
+        found = license_align.scan(words, template, 0.8)
+        if found:
+            hits += 1
+            continue
+        bare += 1
+        for i in range(0, len(words), 3):
+            for width in (n * 3 // 4, n, n + n // 8, n + n // 2, 2 * n):
+                assert len(license_align.align(words[i : i + width], template)) < 0.8 * n, (round, i, width)
+    assert hits > 10 and bare > 10, (hits, bare)
+
+
 # HTML
 
 
