@@ -213,6 +213,15 @@ def test_audit_equals_the_plain_definition(spark, options):
     assert sorted(tuple(r) for r in got.collect()) == plain_audit(rows, 3, 4)
 
 
+@pytest.mark.parametrize("options", [{}, {"max_key_bytes": 0}])
+def test_audit_of_languages_with_zero_bytes(spark, options):
+    """Keys of "en\\0b" must not lie between those of "en"."""
+    langs = ["en", "en\0b", "en\0", "en\1b", "en\1\1b", "en\1\2b", "\0", ""]
+    rows = [(i, "a c d" + " c" * (i % 5) + " b" * (i % 3), langs[i % 8], f"s{i % 5}") for i in range(160)]
+    got = term_transducer.audit_sources(docs(spark, rows), min_docs=3, top=4, **options)
+    assert sorted(tuple(r) for r in got.collect()) == plain_audit(rows, 3, 4)
+
+
 def test_audit_of_an_empty_table(spark):
     assert term_transducer.audit_sources(docs(spark, [])).count() == 0
     with pytest.raises(ValueError):
