@@ -43,6 +43,36 @@ def test_equals_the_comparison_with_all(spark, offset):
         assert got.agg(F.sum("skipped")).first()[0] > 0.5 * len(points) * len(centers)
 
 
+@pytest.mark.parametrize("offset", [0.0, 1e6, 1e160])
+def test_pivots_equal_the_comparison_with_all(spark, offset):
+    """Coordinates beyond BOX_DIMS, with ties."""
+    rng = np.random.default_rng(4)
+    hubs = rng.normal(0, 50, (12, center_blocks.BOX_DIMS + 1))
+    draw = lambda n: np.concatenate([hubs[[i % 12]] + rng.normal(0, 1, hubs[:1].shape) for i in range(n)])
+    centers = draw(200)
+    centers[150:170] = centers[:20]
+    points = np.concatenate([draw(300), centers[:30]]) + offset
+    p, c = frames(spark, points, centers + offset)
+    with np.errstate(over="ignore"):
+        want = plain(points, centers + offset)
+    got = center_blocks.assign_nearest_blocks(p, c, block_bytes=72 * 60, pass_bytes=72 * 130)
+    assert sorted(map(tuple, got.select("id", "dist2", "k").collect())) == want
+
+
+def test_boxes_leave_out_nearly_all_centers():
+    """Points far from all centers, on a grid with ties and equal centers, meet few of them."""
+    rng = np.random.default_rng(6)
+    centers = np.concatenate([rng.integers(0, 60, (20_000, 2)).astype(float), rng.normal(30, 10, (20_000, 2))])
+    points = np.concatenate([rng.normal(30, 20, (300, 2)), rng.normal(30, 20, (300, 2)) + [0, 5000], rng.integers(0, 60, (100, 2)) + 0.5])
+    ks = rng.permutation(len(centers))
+    best, index = np.full(len(points), np.inf), np.full(len(points), center_blocks.NONE)
+    skipped = center_blocks.improve(points, [center_blocks.make_boxes(ks, centers)], best, index)
+    by_index = np.argsort(ks)
+    dist2, at = assign.nearest_in_block(points, centers[by_index])
+    assert best.tolist() == dist2.tolist() and index.tolist() == ks[by_index][at].tolist()
+    assert skipped > 0.99 * len(points) * len(centers)
+
+
 def test_points_that_are_not_finite(spark):
     points = [[float("nan"), 1.0], [float("inf"), 0.0], [1e200, 0.0], [2.0, 2.0]]
     centers = [[0.0, 0.0]] + [[i + 0.5, 0.0] for i in range(200)]
