@@ -41,14 +41,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointflow.llm.shingles import mix
-from pointflow.llm.tables import Scratch, need_text, text_slices
+from pointflow.llm.tables import Scratch, batch_slices, give_back, need_text, text_slices
 
 LENGTH = 100
 GRAM = 32
 # segments of one gram that a transform takes
 MAX_KINDS = 4096
-# bytes of a transform; the segments of a gram stay together
-CHUNK_BYTES = 1 << 19
+# bytes of a transform, which fits a cache; the segments of a gram stay together
+CHUNK_BYTES = 1 << 16
 _BASE = 0x9E3779B97F4A7C15
 # bytes that are hashed at a time; longer texts are taken in overlapping stretches
 STRETCH = 1 << 19
@@ -122,8 +122,9 @@ def _segments_in(parts: list[tuple[int, int, bytes]], length: int, gram: int):
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first `depth` symbols at least, by doubling."""
+    """Suffixes in the order of their first `depth` symbols at least, by tripling where three ranks fit a word, else doubling."""
     n = len(symbols)
+    times = 3 if (n + 1) ** 3 < 1 << 63 else 2
     padded = np.concatenate([symbols.astype(np.int64), np.zeros(_WORD, dtype=np.int64)])
     key = np.zeros(n, dtype=np.int64)
     for j in range(_WORD):
@@ -136,9 +137,12 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
         ranked = key[order]
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(np.diff(ranked, prepend=ranked[0]) != 0) + 1
-        key = rank * (n + 1)
-        key[: max(0, n - sorted_to)] += rank[sorted_to:]
-        sorted_to *= 2
+        key = rank
+        for _ in range(times - 1):
+            # the ranks of what follows, 0 beyond the end
+            rank = np.concatenate([rank[sorted_to:], np.zeros(min(n, sorted_to), dtype=np.int64)])
+            key = key * (n + 1) + rank
+        sorted_to *= times
 
 
 def shorter_prefixes(bwt: np.ndarray, length: int) -> np.ndarray:
@@ -226,9 +230,10 @@ def _slices(batches, columns: list[str]):
     """The texts of all batches in slices, with the rows of the other columns that belong to them."""
     for batch in batches:
         row = 0
-        for texts in text_slices([batch.column("text")]):
+        for texts in batch_slices(batch.column("text")):
             yield texts, [batch.column(c).slice(row, len(texts)) for c in columns]
             row += len(texts)
+    give_back()
 
 
 def _digests(texts: list[bytes], doc, start, stop) -> np.ndarray:

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pointflow.llm import bwt_repeats, queries, term_transducer, value_codebooks
@@ -171,6 +172,24 @@ def test_cut_query(spark):
     assert sum(r[2] for r in got)
 
 
+def test_memory_goes_back_once_a_task(monkeypatch):
+    calls = []
+    monkeypatch.setattr(bwt_repeats, "give_back", lambda: calls.append(1), raising=False)
+    monkeypatch.setattr("pointflow.llm.tables.give_back", lambda: calls.append(1))
+    batches = [pa.RecordBatch.from_pydict({"text": ["a", None, "b" * 9]}) for _ in range(5)]
+    assert [t for texts, _ in bwt_repeats._slices(batches, []) for t in texts] == ["a", None, "b" * 9] * 5
+    assert len(calls) == 1
+
+
+@pytest.mark.parametrize("n", [1, 6, 20, 500])
+def test_suffix_order_of_deep_repeats(n):
+    rng = random.Random(n)
+    symbols = np.array([rng.choice((1, 2)) for _ in range(n)] * 3, dtype=np.uint16)
+    order = bwt_repeats.suffix_order(symbols, 100)
+    front = [tuple(symbols[i : i + 100].tolist()) for i in order.tolist()]
+    assert sorted(order.tolist()) == list(range(3 * n)) and front == sorted(front)
+
+
 # --- source audit ---------------------------------------------------------------------------------
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
